@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, secrets, urlfilter
+from tidemark.llm import decontam, packing, quality, secrets, tokencount, urlfilter
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.sources.tables import table
 
@@ -15,16 +15,35 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_token_count": op2_token_count,
     "op3_url_filter": op3_url_filter,
+    "op4_quality_rules": op4_quality_rules,
+    "op8_packing": op8_packing,
     "op10_decontamination": op10_decontamination,
 }

@@ -102,3 +102,14 @@ FROM done CROSS JOIN best
 
 
 ORACLES["op3_url_filter"] = _urls_sql()
+
+_LINE = r"trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'))"
+ORACLES["op5_line_dedup"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, doc_id, source, ls[i] AS line, i FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+k AS (SELECT *, CASE WHEN {_LINE} <> '' THEN {_LINE} END AS key FROM l),
+bad AS (SELECT key, min((doc_id IS NULL, doc_id, i)) AS first FROM k WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT source) >= 8),
+m AS (SELECT rid, i, line, bad.key IS NOT NULL AND (doc_id IS NULL, doc_id, i) IS DISTINCT FROM first AS gone FROM k LEFT JOIN bad USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m JOIN d USING (rid) GROUP BY rid
+"""

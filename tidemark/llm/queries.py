@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, packing, quality, secrets, tokencount, urlfilter
+from tidemark.llm import decontam, linededup, packing, quality, secrets, simhash, tokencount, urlfilter
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.sources.tables import table
 
@@ -29,12 +29,20 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +52,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_count": op2_token_count,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
+    "op5_line_dedup": op5_line_dedup,
     "op8_packing": op8_packing,
+    "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
 }

@@ -21,6 +21,7 @@ often as needed.  Extra columns are ignored.  An empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents
 
-OPEN, GROUP, SLACK = 64, 64, 16
-KEPT, LONGEST = 600_000, 48
+OPEN, GROUP, SLACK = 64, 8, 16
+KEPT, LONGEST = 900_000, 48
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -45,20 +46,30 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.t, self.end, self.kept = Tokenizer.from_file(path), np.uint32(end).tobytes(), {}
+        self.tails = {x: np.array(self.t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in ("", ".", ",", ";", ":", "!", "?")}
+
+    def _fresh(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not kept.  Those that differ by case or a last mark alone share the library's work."""
+        split = []
+        for w in words:
+            k = w.lower() if w.isascii() and "<|" not in w else w
+            tail = k[-1:] if k[-1:] in self.tails and k[-2:-1].isalpha() else ""
+            split.append((w, k[:-1] if tail else k, tail))
+        todo = list({b for _, b, _ in split if b not in self.kept})
+        new = {b: array("I", e.ids).tobytes() for b, e in zip(todo, self.t.encode_batch_fast(todo, add_special_tokens=False), strict=True)}
+        for w, b, tail in split:
+            new[w] = (new[b] if b in new else self.kept[b]) + self.tails[tail]
+        return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        kept, parts = self.kept, [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = list({w for p in parts for w in p if w not in kept})
-        new = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(fresh, self.t.encode_batch(fresh, add_special_tokens=False), strict=True)}
-        if new:
-            if len(kept) + len(new) > KEPT:
-                kept.clear()
-                for p in parts:  # of this batch, those that were kept are needed again
-                    for w in p:
-                        if w not in new:
-                            new[w] = np.array(self.t.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-            kept.update(new)
-        out = [b"".join(map(kept.__getitem__, p)) + self.end for p in parts]
+        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.kept) > KEPT:
+            self.kept = {}
+        kept = self.kept
+        got = [list(map(kept.get, p)) for p in parts]  # None: not kept
+        new = self._fresh(list({w for p, g in zip(parts, got, strict=True) if None in g for w, x in zip(p, g, strict=True) if x is None}))
+        kept.update(new)
+        out = [b"".join(g if None not in g else [new[w] if x is None else x for w, x in zip(p, g, strict=True)]) + self.end for p, g in zip(parts, got, strict=True)]
         for w in new:
             if len(w) > LONGEST:
                 del kept[w]

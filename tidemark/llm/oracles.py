@@ -113,3 +113,34 @@ m AS (SELECT rid, i, line, bad.key IS NOT NULL AND (doc_id IS NULL, doc_id, i) I
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m JOIN d USING (rid) GROUP BY rid
 """
+
+
+def _licenses_sql() -> str:
+    from tidemark.llm import licenses as L
+
+    weights, other, templates = L.vectors()
+    tw = ", ".join(f"('{t}', {x})" for t, x in weights.items())
+    tv = ", ".join(f"({i}, '{name}', '{t}', {x}, {float(n2)!r})" for i, (name, v, n2) in enumerate(templates) for t, x in v.items())
+    return rf"""
+WITH tw(term, w) AS (VALUES {tw}), tv(no, name, term, x, n2) AS (VALUES {tv}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') || '/' || coalesce(lang, '') || '/' || coalesce(CAST(doc_id AS VARCHAR), '') AS path,
+  coalesce(source, '') || '/' || coalesce(lang, '') AS dir, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+h AS (SELECT rid, line, i FROM (SELECT rid, ls[i] AS line, i FROM (SELECT rid, string_split(t, chr(10)) AS ls, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS i FROM d)) WHERE regexp_matches(line, '{L.CUE}')),
+tm AS (SELECT rid, i, term, count(*) AS tf FROM (SELECT rid, i, unnest(regexp_extract_all(line, '{L.TERM}')) AS term FROM h) GROUP BY ALL),
+v AS (SELECT rid, i, term, tf * coalesce(w, {other}) AS x FROM tm LEFT JOIN tw USING (term)),
+q AS (SELECT rid, i, sum(x * x) AS q FROM v GROUP BY ALL),
+s AS (SELECT v.rid, v.i, no, any_value(name) AS name, CAST(floor(CAST(sum(v.x * tv.x) AS DOUBLE) / sqrt(CAST(any_value(q.q) AS DOUBLE) * CAST(any_value(n2) AS DOUBLE)) * CAST(1000000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT) AS score
+  FROM v JOIN tv USING (term) JOIN q ON q.rid = v.rid AND q.i = v.i GROUP BY v.rid, v.i, no),
+top AS (SELECT rid, score, name FROM s QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, no) = 1),
+n AS (SELECT rid, sum(len(regexp_extract_all(line, '{L.TERM}'))) AS n FROM h GROUP BY rid),
+o AS (SELECT d.rid, doc_id, path, dir, CASE WHEN score >= {L.LEAST} THEN name END AS own_license, coalesce(score, 0) AS score,
+  coalesce(score, 0) >= {L.LEAST} AND n >= {L.FILE_SHARE} * len(regexp_extract_all(t, '{L.TERM}')) AS is_file FROM d LEFT JOIN top USING (rid) LEFT JOIN n USING (rid)),
+b AS (SELECT dir, own_license AS license FROM o WHERE is_file QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path, own_license) = 1),
+up AS (SELECT DISTINCT dir, dir AS up, 2 AS depth FROM o UNION SELECT DISTINCT dir, string_split(dir, '/')[1], 1 FROM o UNION SELECT DISTINCT dir, '', 0 FROM o),
+near AS (SELECT up.dir, up.up, b.license FROM up JOIN b ON b.dir = up.up QUALIFY row_number() OVER (PARTITION BY up.dir ORDER BY depth DESC) = 1)
+SELECT doc_id, path, own_license, score, coalesce(is_file, false) AS is_file, coalesce(own_license, near.license) AS license, CASE WHEN own_license IS NULL THEN near.up END AS license_dir
+FROM o LEFT JOIN near USING (dir)
+"""
+
+
+ORACLES["op6_license_scan"] = _licenses_sql()

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontam, linededup, packing, quality, repeats, secrets, simhash, tokencount, urlfilter
+import corpus_pipeline
+from tidemark.llm import decontam, licenses, linededup, packing, quality, repeats, secrets, simhash, tokencount, urlfilter
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.sources.tables import table
 
@@ -33,6 +34,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.document_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(table(spark, sf_dir, "documents"))
 
@@ -57,8 +62,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
+    "op6_license_scan": op6_license_scan,
     "op7_long_repeats": op7_long_repeats,
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,21 @@ def documents(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the folder that all machines share.
-
-    The folder is ``spark.checkpoint.dir`` of the session; only where that is unset, as in tests,
-    a temporary folder is made.
-    """
-    spark: SparkSession = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share: ``spark.checkpoint.dir`` of the session; only where that is unset, as in tests, a temporary one."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again: compressed, and read by column."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

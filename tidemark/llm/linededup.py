@@ -1,6 +1,6 @@
 """Line dedup: lines that spread over many sites, counted by HyperLogLog sketches.
 
-A line's key is the MD5 of its words (A-Z lower-cased, white space between them as one space);
+A line's key is 128 bits of hash of its words (A-Z lower-cased, white space between them as one space);
 lines without words are left alone.  A sketch of the sites is built per key
 by partial aggregation, so a line in a third of all documents reaches its reducer as one sketch a
 task.  Lines whose estimate stands clear of the threshold are decided by it; those within
@@ -19,42 +19,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower
+from tidemark.llm.common import ascii_lower, cut, stored
 
 SITES, LOG2_BUCKETS, MARGIN = 8, 10, 0.15
 
 
-def line_key(line: Column) -> Column:
-    """Sixteen bytes of hex; null where the line has no word."""
-    words = F.trim(F.regexp_replace(ascii_lower(line), r"[\x20\x09-\x0D]+", " "))
-    return F.when(words != "", F.md5(words))
+KEY = ["k1", "k2"]
+
+
+def line_keys(line: Column) -> tuple[Column, Column]:
+    """128 bits for a line in lower case, in two halves; nulls where the line has no word."""
+    odd = line.contains("  ")
+    for c in "\t\x0b\x0c\r":
+        odd = odd | line.contains(c)
+    words = F.trim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
+    return F.when(words != "", F.xxhash64(words)), F.when(words != "", F.xxhash64(F.concat(F.lit("~"), words)))
 
 
 def lines(docs: DataFrame, site: str) -> DataFrame:
-    """(doc, th, n, key, site): the lines with words; th, with the id, finds the row again."""
+    """(doc, th, site, n, k1, k2): the lines with words; th, with the id, finds the row again."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce(F.col("text"), F.lit("")).alias("t"), F.col(site).cast("string").alias("site"))
-    flat = base.select("doc", F.xxhash64("t").alias("th"), "site", F.posexplode(F.split("t", "\n", -1)).alias("n", "line"))
-    return flat.select("doc", "th", "n", "site", line_key(F.col("line")).alias("key")).where(F.col("key").isNotNull())
+    flat = base.select("doc", F.xxhash64("t").alias("th"), "site", F.posexplode(F.split(ascii_lower(F.col("t")), "\n", -1)).alias("n", "line"))
+    k1, k2 = line_keys(F.col("line"))
+    return flat.select("doc", "th", "site", "n", k1.alias("k1"), k2.alias("k2")).where(F.col("k1").isNotNull())
+
+
+def _place() -> Column:
+    return F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("n"))
 
 
-def boilerplate(at: DataFrame, sites: int = SITES) -> DataFrame:
-    """(key, first): lines on ``sites`` or more sites, with their first occurrence."""
-    where = F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("n"))
-    # Few lines come often enough: a count in front keeps sketches from being made for the others.
-    often = at.groupBy("key").agg(F.count("site").alias("c"), F.min(where).alias("first")).where(F.col("c") >= sites).drop("c")
-    common = at.select("key", "site").join(often, "key")
-    spread = common.groupBy("key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG2_BUCKETS))).alias("about"), F.first("first").alias("first"))
-    sure = spread.where(F.col("about") > sites * (1 + MARGIN)).select("key", "first")
-    near = spread.where(F.col("about").between(sites * (1 - MARGIN), sites * (1 + MARGIN))).select("key", "first")
-    exact = common.join(near.select("key"), "key", "left_semi").groupBy("key", "site").agg(F.first("first").alias("first")).groupBy("key").agg(F.count("site").alias("c"), F.first("first").alias("first"))
-    return sure.unionByName(exact.where(F.col("c") >= sites).select("key", "first"))
+def boilerplate(at: DataFrame, sites: int = SITES) -> tuple[DataFrame, DataFrame]:
+    """The occurrences of lines that come often enough, and (k1, k2, first) of those on ``sites`` or more sites."""
+    # Few lines do: a count in front, by key alone, keeps sketches from being made for the others.
+    often = at.groupBy(*KEY).agg(F.count("site").alias("c")).where(F.col("c") >= sites).drop("c")
+    common = stored(at.join(often, KEY))
+    spread = common.groupBy(*KEY).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG2_BUCKETS))).alias("about"), F.min(_place()).alias("first"))
+    spread = cut(spread.where(F.col("about") >= sites * (1 - MARGIN)))
+    near = spread.where(F.col("about") <= sites * (1 + MARGIN)).select(*KEY)
+    exact = common.join(near, KEY, "left_semi").select(*KEY, "site").distinct().groupBy(*KEY).agg(F.count("site").alias("c")).where(F.col("c") >= sites).select(*KEY)
+    sure = spread.where(F.col("about") > sites * (1 + MARGIN)).select(*KEY, "first")
+    return common, sure.unionByName(spread.join(exact, KEY).select(*KEY, "first"))
 
 
 def removals(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
     """(doc, th, gone): the numbers of the lines to remove, for rows that have some."""
-    at = lines(docs, site)
-    bad = boilerplate(at, sites)
-    out = at.join(bad, "key").where(F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("n")) != F.col("first"))
+    common, bad = boilerplate(stored(lines(docs, site)), sites)
+    out = common.join(bad, KEY).where(_place() != F.col("first"))
     return out.groupBy("doc", "th").agg(F.collect_set("n").alias("gone"))
 
 

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.registry import ORACLES, QUERIES
 
 
-def _sql(v) -> str:
+def _sql(v, like=()) -> str:
+    """A value as a DuckDB literal; a null has the type of the other values of its column."""
     if v is None:
-        return "CAST(NULL AS VARCHAR)"
+        kind = next((type(x) for x in like if x is not None), str)
+        return f"CAST(NULL AS {({bool: 'BOOLEAN', float: 'DOUBLE', int: 'BIGINT'}).get(kind, 'VARCHAR')})"
     if isinstance(v, bool):
         return "true" if v else "false"
     if isinstance(v, float):
@@ -46,4 +48,4 @@ def golden(name: str, inputs: list[str], cases: list[tuple], make: Callable[...,
     if name in QUERIES:
         raise ValueError(name)
     QUERIES[name] = run
-    ORACLES[name] = "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join([f"CAST({i} AS BIGINT)", *map(_sql, c[n:])]) + ")" for i, c in enumerate(cases)) + f") t(case_no, {', '.join(outputs)})"
+    ORACLES[name] = "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join([f"CAST({i} AS BIGINT)", *[_sql(v, [o[n + k] for o in cases]) for k, v in enumerate(c[n:])]]) + ")" for i, c in enumerate(cases)) + f") t(case_no, {', '.join(outputs)})"

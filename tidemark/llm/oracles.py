@@ -95,7 +95,9 @@ done AS (SELECT ruled.*, coalesce(score, 0) AS score FROM ruled LEFT JOIN per US
 h AS (SELECT greatest(-{half}, least({half}, CAST(floor(CAST(score AS DOUBLE) / {step}) AS BIGINT))) AS q, said FROM done WHERE held AND said IS NOT NULL),
 hn AS (SELECT count(*) FILTER (said = 'allow') AS na, count(*) FILTER (said = 'block') AS nb FROM h),
 lim AS (SELECT q, (SELECT count(*) FROM h WHERE h.said = 'allow' AND h.q < s.q) * nb + (SELECT count(*) FROM h WHERE h.said = 'block' AND h.q >= s.q) * na AS cost, na, nb FROM (SELECT unnest(range(-{half}, {half + 1})) AS q) AS s CROSS JOIN hn),
-best AS (SELECT coalesce((SELECT q * {step} FROM lim WHERE na > 0 AND nb > 0 ORDER BY cost, q LIMIT 1), 0) AS at)
+low AS (SELECT min(q) AS q1, any_value(cost) AS c FROM lim WHERE na > 0 AND nb > 0 AND cost = (SELECT min(cost) FROM lim)),
+high AS (SELECT q1, coalesce((SELECT min(q) - 1 FROM lim WHERE q > q1 AND cost > c), {half}) AS q2 FROM low),
+best AS (SELECT coalesce((SELECT CAST(floor(CAST(q1 + q2 AS DOUBLE) / 2) AS BIGINT) * {step} FROM high), 0) AS at)
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN score >= best.at THEN 'allow' ELSE 'block' END) AS verdict, CAST(score AS DOUBLE) / {float(U.SCALE)} AS score
 FROM done CROSS JOIN best
 """

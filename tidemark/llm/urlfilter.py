@@ -96,20 +96,22 @@ def scored(pages: DataFrame, ratios: DataFrame) -> DataFrame:
 
 
 def calibrated(held: DataFrame) -> int:
-    """The least limit, in steps of 1/64 bit from -8 to 8, that errs least on (score, ok) rows."""
+    """The least limit, in steps of 1/64 bit from -8 to 8, that errs least on (score, ok) rows; of several in a row the middle one."""
     step = SCALE // 64
     bins = held.groupBy(F.greatest(F.lit(-BINS // 2), F.least(F.lit(BINS // 2), F.floor(F.col("score") / step))).cast("int").alias("q")).agg(F.sum(F.col("ok").cast("int")).alias("a"), F.sum((~F.col("ok")).cast("int")).alias("b"))
     rows = {r["q"]: (r["a"], r["b"]) for r in bins.collect()}  # at most BINS + 1 rows
     na, nb = sum(a for a, _ in rows.values()), sum(b for _, b in rows.values())
     if not na or not nb:
         return 0
-    best, at, lost, let = None, 0, 0, nb
+    cost, lost, let = [], 0, nb
     for q in range(-BINS // 2, BINS // 2 + 1):  # limit q: scores of q and more pass
-        if best is None or lost * nb + let * na < best:
-            best, at = lost * nb + let * na, q
+        cost.append(lost * nb + let * na)
         a, b = rows.get(q, (0, 0))
         lost, let = lost + a, let - b
-    return at * step
+    first = last = cost.index(min(cost))
+    while last + 1 < len(cost) and cost[last + 1] == cost[first]:
+        last += 1
+    return ((first + last) // 2 - BINS // 2) * step
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:

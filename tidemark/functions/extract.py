@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import entities, price
 
-LD = r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
+_Q, _NQ = "[\"']", "[^\"']+"
+LD = rf"(?is)<script\b[^>]*\btype={_Q}application/ld[+]json{_Q}[^>]*>(.*?)</script"
 
 
 def _first(*cs: Column) -> Column:
@@ -51,7 +52,8 @@ def page_stock(html: Column) -> Column:
 
 
 def meta(html: Column, name: str) -> Column:
-    a, b = rf"""(?i)<meta[^>]+(?:property|name)=["']{name}["'][^>]*content=["']([^"']+)["']""", rf"""(?i)<meta[^>]+content=["']([^"']+)["'][^>]*(?:property|name)=["']{name}["']"""
+    named, value = f"(?:name|property)={_Q}{name}{_Q}", f"content={_Q}({_NQ}){_Q}"
+    a, b = f"(?i)<meta[^>]+{named}[^>]*{value}", f"(?i)<meta[^>]+{value}[^>]*{named}"
     return F.coalesce(F.nullif(F.regexp_extract(html, a, 1), F.lit("")), F.nullif(F.regexp_extract(html, b, 1), F.lit("")))
 
 

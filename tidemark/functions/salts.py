@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SYNONYMS = {"acetaminophen": "paracetamol", "albuterol": "salbutamol", "amoxycillin": "amoxicillin", "cetirizine hydrochloride": "cetirizine", "rifampin": "rifampicin"}
+SYNONYMS = dict(pair.split(" > ") for pair in "rifampin > rifampicin; acetaminophen > paracetamol; cetirizine hydrochloride > cetirizine; albuterol > salbutamol; amoxycillin > amoxicillin".split("; "))
+_NUM, _NAME = "[0-9]+[.]?[0-9]*", r"[A-Za-z][\sA-Za-z-]+"
 #: Words of prose and of forms, none of which a composition has.
 PROSE = sorted("about active benefits capsule capsules combination company component components composition consists contains cream drops gel includes including injection lotion manufactured marketed ointment order packaging packing powder sachet solution spray suspension syrup tablet tablets uses vial works".split())
 GARBAGE = ("active", "careers blog", "combination", "composition", "effective", "includes", "making it", "order", "our services", "partner with", "proven ingredients", "sufficient", "view company")
@@ -35,16 +36,16 @@ def folded(w: Column) -> Column:
 def salt_key(salt: Column) -> Column:
     """The key of a composition: no doses, one name for each molecule, in order."""
     c = F.lower(F.coalesce(salt, F.lit("")))
-    c = F.regexp_replace(c, r"\d+\.?\d*\s*(mg|ml|gm|mcg|g|%|iu)\b", " ")
-    c = F.regexp_replace(c, r"\d+\.?\d*", " ")
+    c = F.regexp_replace(c, rf"{_NUM}\s*(?:%|g|gm|iu|mcg|mg|ml)\b", " ")
+    c = F.regexp_replace(c, _NUM, " ")
     c = F.replace(F.translate(c, "()+/", "  ,,"), F.lit(" and "), F.lit(","))
-    parts = F.transform(F.split(c, ","), lambda x: F.regexp_replace(F.regexp_replace(F.trim(x), "^[^a-z]+|[^a-z]+$", ""), r"\s+", " "))
+    parts = F.transform(F.split(c, ","), lambda x: F.regexp_replace(F.regexp_extract(x, "(?s)[a-z](?:.*[a-z])?", 0), r"\s+", " "))
     return F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter(parts, lambda x: F.char_length(x) > 3), folded))), " ")
 
 
 def sync_salt(salt: Column) -> Column:
     """The second normal form: doses out, parts in order; neither synonyms nor bare numbers."""
-    c = F.regexp_replace(F.coalesce(salt, F.lit("")), r"(?i)\d+\.?\d*\s*(mg|ml|gm|mcg|g|%)", "")
+    c = F.regexp_replace(F.coalesce(salt, F.lit("")), rf"(?i){_NUM}\s*(?:%|gm|g|mcg|mg|ml)", "")
     c = F.replace(F.replace(F.translate(c, "()", ""), F.lit("+"), F.lit(",")), F.lit(" and "), F.lit(","))
     parts = F.filter(F.transform(F.split(c, ","), lambda x: F.lower(F.trim(x))), lambda x: F.char_length(x) > 3)
     return F.array_join(F.array_sort(parts), " ")
@@ -130,8 +131,8 @@ def quality(salt: Column) -> Column:
     """Points for what looks like a composition, less for what looks like page text; -1 for nothing."""
     n = F.char_length(salt)
     score = F.when(n > 200, -50).when(n > 120, -20).otherwise(0) + F.when(salt.rlike(NOISE), -40).otherwise(0)
-    score = score + F.when(salt.rlike(r"^[A-Za-z][A-Za-z\s-]+\s*\(\s*\d+"), 30).otherwise(0)
-    score = score + F.when(salt.rlike(r"^[A-Za-z][A-Za-z\s-]+(?:\s*\+\s*[A-Za-z][A-Za-z\s-]+)+"), 20).otherwise(0) + F.when(n.between(5, 120), 10).otherwise(0)
+    score = score + F.when(salt.rlike(rf"^{_NAME}\s*[(]\s*[0-9]"), 30).otherwise(0)
+    score = score + F.when(salt.rlike(rf"^{_NAME}(?:\s*[+]\s*{_NAME})+"), 20).otherwise(0) + F.when(n.between(5, 120), 10).otherwise(0)
     return F.when(F.coalesce(salt, F.lit("")) == "", -1).otherwise(score)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.common import present
 from tidemark.functions.dosage import squeeze
 
-_B, _E = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
+_B, _E, _N = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])", "[0-9]+(?:[.][0-9]+)?"
 NAME_NOISE = sorted("best bottle buy capsule capsules cheap discount for new of offer online order pack price strip syrup tab tablet tablets the".split())
 
 
@@ -20,8 +20,7 @@ def plain(c: Column) -> Column:
 def split_caps(c: Column) -> Column:
     """Words that were glued together by case or digits, apart again."""
     out = squeeze(c)
-    for p in ("([a-z])([A-Z])", "([A-Z])([A-Z][a-z])", r"(\d)([A-Z][a-z])"):
-        out = F.regexp_replace(out, p, "$1 $2")
+    out = F.regexp_replace(out, "(?<=[a-z])(?=[A-Z])|(?<=[A-Z0-9])(?=[A-Z][a-z])", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(out, "(?i)&nbsp;", " "), "&#39;", "'"), r"\s+", " "))
 
 
@@ -77,7 +76,7 @@ def description(c: Column) -> Column:
     """Html and page noise out; lines that repeat or contain one another once, in order; null if nothing is left."""
     clean = F.regexp_replace(strip_html(c), _LINE_NOISE, "")
     lines = F.filter(F.transform(F.split(clean, r"\n+"), F.trim), lambda x: x != "")
-    lines = F.flatten(F.transform(lines, lambda p: F.when(F.char_length(p) > 500, F.split(p, r"(?<=[.!?])\s+(?=[A-Z])")).otherwise(F.array(p))))
+    lines = F.flatten(F.transform(lines, lambda p: F.when(F.char_length(p) > 500, F.split(p, r"(?<=[!.?])[\s]+(?=[A-Z])")).otherwise(F.array(p))))
     key = lambda x: F.trim(F.regexp_replace(F.lower(x), r"\s+", " "))
 
     def step(acc: Column, x: Column) -> Column:
@@ -96,7 +95,7 @@ def side_effects(items: Column) -> Column:
     lines = F.filter(F.flatten(F.transform(items, lambda x: F.split(x, r"\n+"))), lambda x: x != "")
     heads = lambda x: F.regexp_replace(F.regexp_replace(strip_html(x), r"(?i)^(?:common|rare|serious|some(?: common)?)\s+side\s+effects?\s*(?:include|are|of)?:?\s*", ""), r"^(?:\d+\s*\.\s*|[-*•]\s*)", "")
     parts = F.flatten(F.transform(lines, lambda x: F.split(heads(x), rf"[,;•·]|{_B}and{_E}")))
-    edge = r"[\s\-*•.,:;()\[\]]+"
+    edge = r"[•*,.;:\[\]()\s-]+"
     parts = F.transform(parts, lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.trim(x)), f"^{edge}", ""), f"{edge}$", "")))
     good = lambda x: F.char_length(x).between(3, 50) & (F.size(F.split(x, r"\s+")) <= 6) & ~x.rlike(r"^(?:common|include|may|can|rare|serious|some|the|these|this)|^side\s*effects?") & ~x.rlike(_FRAGMENT)
     return F.array_distinct(F.filter(parts, good))
@@ -145,7 +144,7 @@ def image_url(url: Column, base: Column) -> Column:
     u = F.trim(F.coalesce(url, F.lit("")))
     b = F.regexp_replace(F.coalesce(base, F.lit("")), "/+$", "")
     full = F.when(u.startswith("//"), F.concat(F.lit("https:"), u)).when(u.startswith("/") & (b != ""), F.concat(b, u)).otherwise(u)
-    bad = r"(?i)data:image|placeholder[./]|/placeholder|no[-_]?image|default[-_]?(?:image|product)|(?:blank|spacer)\.(?:gif|png)|loading\.(?:gif|svg)"
+    bad = r"(?i)data:image|placeholder[./]|/placeholder|(?:blank|spacer)[.](?:gif|png)|loading[.](?:gif|svg)|(?:default[_-]?(?:image|product)|no[_-]?image)"
     return F.when(full.rlike("(?i)^https?://") & ~full.rlike(bad), full).otherwise("")
 
 
@@ -186,4 +185,4 @@ def price(text: Column) -> Column:
 
 def near_currency(text: Column) -> Column:
     get = lambda p: F.nullif(F.regexp_extract(F.replace(text, F.lit(",")), p, 1), F.lit(""))
-    return F.coalesce(*[get(p) for p in (r"(?i)(?:₹|rs\.?|inr)\s*(\d+(?:\.\d+)?)", r"(?i)(\d+(?:\.\d+)?)\s*(?:₹|rs|inr)", r"(?i)mrp\s*:?\s*(\d+(?:\.\d+)?)", r"(?i)price\s*:?\s*(\d+(?:\.\d+)?)")]).try_cast("double")
+    return F.coalesce(*[get(p) for p in (rf"(?i)(?:₹|inr|rs\.?)\s*({_N})", rf"(?i)({_N})\s*(?:₹|inr|rs)", rf"(?i)mrp\s*:?\s*({_N})", rf"(?i)price\s*:?\s*({_N})")]).try_cast("double")

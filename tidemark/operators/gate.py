@@ -18,7 +18,7 @@ def reasons(name: Column, salt: Column, maker: Column, form: Column, prices: Col
     dosage_form = F.when(ident["form"] != "", ident["form"]).otherwise(F.lower(f))
     return F.array_compact(
         F.array(
-            F.when(F.char_length(n) < 3, "NAME_MISSING").when(n.rlike(r"(?i)\b(?:best\s*seller|buy\s*\d+|flat\s*\d+%|off|pack\s*of)\b"), "MARKETING_IN_NAME"),
+            F.when(F.char_length(n) < 3, "NAME_MISSING").when(n.rlike(r"(?i)\b(?:off|pack\s*of|buy\s*[0-9]+|best\s*seller|flat\s*[0-9]+%)\b"), "MARKETING_IN_NAME"),
             F.when((s == "") | (key == ""), "SALT_MISSING").when(~S.is_molecular(key), "INVALID_MOLECULAR_SALT"),
             tag(F.char_length(m) < 2, "MANUFACTURER_MISSING"),
             tag(dosage_form.isin("", "unspecified"), "FORM_MISSING"),

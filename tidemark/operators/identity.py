@@ -16,10 +16,19 @@ _FORMS = {
 FORMS = sorted([*((p, f) for f, ps in _FORMS.items() for p in ps.split()), ("ear drops", "ear drops"), ("eye drops", "eye drops")], key=lambda x: (-len(x[0]), x[0]))
 NOISE = sorted("& and bottle box bp flavor flavored flavour flavoured for ip jar nf of oral pack paed paediatric pediatric sterile strip the tube usp with".split())
 MODIFIERS = sorted("cr ds dsr dt er forte la mr od plus pr sr tr xr".split())
-DOSE = r"(\d+\.?\d*)\s*(mcg|mg|gm|iu|lakh|lac|units?|g|%)?"
-PACK = (
-    r"(?:\b\d+\s*[x×]\s*\d+\.?\d*\s*(?:ml|litres?|ltr|gm|g)\b)|(?:\b(?:bottle|box|pack|strip)\s+of\s+\d+\b)"
-    r"|(?:\b\d+\.?\d*\s*(?:ml|litres?|ltr)\b)|(?:\b\d+\s*'?s\b)|(?:\bx\s*\d+\b)"
+_NUM, _VOLUME = "[0-9]+[.]?[0-9]*", "(?:ml|ltr|litres?)"
+#: Longer units stand before those that they start with.
+DOSE = rf"({_NUM})\s*(%|gm|g|iu|lac|lakh|mcg|mg|units?)?"
+#: Counts by volume, "strip of 10", volumes, "10's" and "x 10".
+PACK = "|".join(
+    f"(?:{p})"
+    for p in (
+        rf"\b[0-9]+\s*[×x]\s*{_NUM}\s*(?:g|gm|{_VOLUME})\b",
+        r"\b(?:bottle|box|pack|strip)\s+of\s+[0-9]+\b",
+        rf"\b{_NUM}\s*{_VOLUME}\b",
+        r"\b[0-9]+\s*'?s\b",
+        r"\bx\s*[0-9]+\b",
+    )
 )
 
 
@@ -129,8 +138,8 @@ _LIQUID = ("cream", "drops", "gel", "ointment", "powder", "solution", "spray", "
 def relevance(query: Column, name: Column) -> Column:
     """How well a result fits a query, 0 to 1.  Of several forms in a text the last in the alphabet counts."""
     q, n = F.lower(F.trim(query)), F.lower(F.trim(name))
-    num = r"(?i)(\d+\.?\d*)\s*(mg|ml|gm|mcg|g)?"
-    brand = F.filter(S.words(q), lambda w: ~w.rlike(r"(?i)^\d+\.?\d*(mg|ml|gm|mcg|g)?$"))
+    num = rf"(?i)({_NUM})\s*(?:gm|g|mcg|mg|ml)?"
+    brand = F.filter(S.words(q), lambda w: ~w.rlike(rf"(?i)^{_NUM}(?:gm|g|mcg|mg|ml)?$"))
     first = F.when(F.size(brand) == 0, 0.0).when(n.contains(F.element_at(brand, 1)), 0.5).otherwise(-1.0)
     others = F.aggregate(F.slice(brand, 2, F.greatest(F.size(brand) - 1, F.lit(0))), F.lit(0.0), lambda a, w: a + F.when(n.contains(w), 0.2).otherwise(-0.2))
     doses = F.regexp_extract_all(q, F.lit(num), F.lit(1))

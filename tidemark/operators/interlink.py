@@ -12,6 +12,7 @@ _MAKERS = sorted(
 )
 _PARTS = sorted("bottle box cap capsule capsules caps cream drop drops gel injection new of ointment pack sachet spray strip strips suspension syrup tab tablet tablets tabs".split())
 _B, _E = "(?<![a-z0-9_])", "(?![a-z0-9_])"
+NUMBER, AMOUNT = "[0-9]+(?:[.][0-9]+)?", r"\s*(?:%|g|gm|iu|kg|mcg|mg|ml|units?)"
 
 
 def matching_name(name: Column) -> Column:
@@ -19,7 +20,7 @@ def matching_name(name: Column) -> Column:
     n = F.lower(F.trim(F.coalesce(name, F.lit(""))))
     for pattern in (
         f"{_B}({'|'.join(_MAKERS)}){_E}", f"{_B}({'|'.join(_PARTS)}){_E}", rf"{_B}\d+\s*'s{_E}", r"[^a-z0-9\s\-.]",
-        rf"\d+(?:\.\d+)?\s*(?:mg|ml|mcg|g|gm|kg|%|units?|iu){_E}", r"\d+", r"\s+",
+        f"{NUMBER}{AMOUNT}{_E}", "[0-9]+", r"\s+",
     ):
         n = F.regexp_replace(n, pattern, " ")
     return F.trim(F.regexp_replace(F.trim(n), r"[\s\-,.|:;+*]+$", ""))

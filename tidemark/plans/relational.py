@@ -338,7 +338,7 @@ def p21(spark, d):
     return V.state(spark, d).where(F.col("last_synced_at").isNull() | (F.col("last_synced_at") < F.lit("1998-01-01").cast("timestamp") - F.expr("INTERVAL 7 DAYS"))).select("id")
 
 
-@op("m14_priority_pick", duck("SELECT medicine_id, platform FROM price WHERE platform IN ('1mg', 'apollo', 'pharmeasy', 'netmeds') QUALIFY row_number() OVER (PARTITION BY medicine_id ORDER BY list_position(['1mg', 'apollo', 'pharmeasy', 'netmeds'], platform)) = 1", "price"))
+@op("m14_priority_pick", duck("SELECT medicine_id, platform FROM price WHERE platform IN ('1mg', 'apollo', 'pharmeasy', 'netmeds') QUALIFY row_number() OVER (PARTITION BY medicine_id ORDER BY CASE platform WHEN '1mg' THEN 1 WHEN 'apollo' THEN 2 WHEN 'pharmeasy' THEN 3 ELSE 4 END) = 1", "price"))
 def m14(spark, d):
     order = F.array(*[F.lit(x) for x in ("1mg", "apollo", "pharmeasy", "netmeds")])
     p = V.price(spark, d).withColumn("at", F.array_position(order, F.col("platform"))).where(F.col("at") > 0)

@@ -5,6 +5,7 @@ from oracle import both, connect
 
 import tidemark.plans.catalogue  # noqa: F401
 import tidemark.plans.pipelines  # noqa: F401
+import tidemark.plans.records  # noqa: F401
 import tidemark.plans.relational  # noqa: F401
 import tidemark.plans.resolution  # noqa: F401
 import tidemark.plans.texts  # noqa: F401

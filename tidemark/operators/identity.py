@@ -52,10 +52,11 @@ def identity(name: Column, salt: Column) -> Column:
     text = F.regexp_replace(F.concat(F.lit(" "), F.lower(F.trim(F.coalesce(name, F.lit("")))), F.lit(" ")), PACK, " ")
 
     def rest(t: Column) -> Column:
-        phrase, form = F.lit(None).cast("string"), F.lit("")
-        for p, f in reversed(FORMS):
-            hit = t.rlike(rf"\b{p}\b")
-            phrase, form = F.when(hit, p).otherwise(phrase), F.when(hit, f).otherwise(form)
+        # One pass finds all phrases, longer ones before those within them; then the longest counts.
+        found = F.regexp_extract_all(t, F.lit(rf"\b({'|'.join(p for p, _ in FORMS)})\b"), F.lit(1))
+        ranked = F.array_sort(F.transform(found, lambda p: F.struct((-F.char_length(p)).alias("n"), p.alias("p"))))
+        phrase = F.try_element_at(ranked, F.lit(1))["p"]
+        form = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in FORMS for x in kv]), phrase), F.lit(""))
         left = F.when(phrase.isNull(), t).otherwise(F.regexp_replace(t, F.concat(F.lit(r"\b"), phrase, F.lit(r"\b")), F.lit(" ")))
         return _let(F.struct(left.alias("t"), form.alias("form")), made)
 

@@ -59,11 +59,13 @@ golden("e29_salt_doses", ["s"], [("Telmisartan (40mg) + Amlodipine (5 mg)", "40m
 golden("a10_salt_quality", ["a", "b"], [("Ibuprofen (400mg)", "view company", "Ibuprofen (400mg)", 40), ("Paracetamol", "Paracetamol + Caffeine", "Paracetamol + Caffeine", 10), ("", "x", "x", -1), ("abcde", "abcdef", "abcdef", 10)], lambda a, b: {"salt": S.better(a, b), "points": S.quality(a).cast("long")}, ["salt", "points"])
 
 
-@op("e8_j8_blocked_pairs", duck("SELECT a.medicine_id AS a_id, b.medicine_id AS b_id FROM (SELECT name, strength, form, min(medicine_id) AS medicine_id FROM med GROUP BY ALL) a JOIN (SELECT name, strength, form, min(medicine_id) AS medicine_id FROM med GROUP BY ALL) b ON a.name = b.name AND a.strength = b.strength AND a.form <> b.form AND false", "med"))
+@op("e8_j8_blocked_pairs", duck("""
+x AS (SELECT name, strength, CASE WHEN medicine_id % 3 = 0 THEN '' ELSE form END AS f, min(medicine_id) AS id FROM med GROUP BY ALL)
+SELECT a.id AS a_id, b.id AS b_id FROM x a JOIN x b ON a.name = b.name AND a.strength = b.strength AND a.id < b.id AND (a.f = '' OR b.f = '' OR a.f = b.f)""", "med"))
 def j8(spark, d):
-    """With forms known everywhere distinct identities of a block never agree, so there are no pairs."""
-    rows = V.med(spark, d).select(F.col("medicine_id").alias("id"), F.col("title").alias("name"), F.lit("").alias("salt"))
-    return I.duplicate_pairs(rows).select("a_id", "b_id")
+    """A third of the names lack their form, which then agrees with any."""
+    name = F.when(F.col("medicine_id") % 3 == 0, F.concat_ws(" ", "name", "strength")).otherwise(F.col("title"))
+    return I.duplicate_pairs(V.med(spark, d).select(F.col("medicine_id").alias("id"), name.alias("name"), F.lit("").alias("salt"))).select("a_id", "b_id")
 
 
 @op("e11_clusters", duck("SELECT medicine_id AS id, min(medicine_id) OVER (PARTITION BY name, strength, form) AS cluster FROM med", "med"))

@@ -23,7 +23,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower
+from tidemark.llm.common import ascii_lower, stored
 
 TEMPLATES = {
     "Apache-2.0": [
@@ -104,7 +104,8 @@ def scan(files: DataFrame) -> DataFrame:
     low = F.array(F.struct(ascii_lower(F.coalesce("text", F.lit(""))).alias("t"), path.rlike(NAMED).alias("named")))
     base = files.select("doc_id", path.alias("path"), low.alias("__tm_low")).select("doc_id", "path", F.expr(own_license()).alias("own"))
     base = base.withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
-    rows = base.select("doc_id", "path", "dir", "own.score", F.col("own.license").alias("own_license"), "own.is_file")
+    # Three steps read this: the texts are scanned once, and a few columns without them are stored.
+    rows = stored(base.select("doc_id", "path", "dir", "own.score", F.col("own.license").alias("own_license"), "own.is_file"))
     # The best score, and of those the smallest path.
     best = rows.where("is_file").groupBy("dir").agg(F.min_by("own_license", F.struct(-F.col("score"), F.col("path"), F.col("own_license"))).alias("license"))
     chain = F.expr("transform(sequence(0, size(split(dir, '/'))), i -> named_struct('depth', i, 'up', array_join(slice(split(dir, '/'), 1, i), '/')))")

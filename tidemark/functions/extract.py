@@ -114,3 +114,10 @@ def llm_json(text: Column) -> Column:
     """The object in an answer, fences off; else what stands in the outer braces; null if neither parses."""
     bare = F.trim(F.regexp_replace(text, "(?i)```(?:json)?", ""))
     return F.coalesce(F.try_parse_json(bare), F.try_parse_json(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))))
+
+
+def headed(html: Column) -> Column:
+    """(heading, body) of h1 to h6 and what stands before the next one, tags off."""
+    bare = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "))
+    parts = F.filter(F.split(html, r"(?i)<h[1-6]\b[^>]*>"), lambda p, i: i > 0)
+    return F.transform(parts, lambda p: F.struct(bare(F.element_at(F.split(p, "(?i)</h[1-6]>"), 1)).alias("heading"), bare(F.coalesce(F.try_element_at(F.split(p, "(?i)</h[1-6]>"), F.lit(2)), F.lit(""))).alias("body")))

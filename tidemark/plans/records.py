@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import extract as X
 from tidemark.functions import records as C
+from tidemark.functions import salts as S
+from tidemark.functions import text as T
 from tidemark.operators import identity as I
 from tidemark.operators import ranking as R
 from tidemark.plans import views as V
@@ -99,3 +101,51 @@ def snk34(spark, d):
     back = spark.read.schema(m.schema).parquet(path)
     same = snapshot(back, f"{path}-copy")
     return back.agg(F.count("*").alias("n"), F.countDistinct("medicine_id").alias("ids")).withColumn("same", F.lit(same))
+
+
+golden(
+    "m4_m5_clean_pass", ["d", "s", "e"],
+    [("<p>Good drug for pain.</p>Read more", "view company", "Nausea, vomiting", "Good drug for pain.", None, ["nausea", "vomiting"]), ("x", "Paracetamol 500mg", "", None, "paracetamol", [])],
+    lambda d, s, e: {"description": F.when(F.char_length(T.description(d)) >= 3, T.description(d)), "salt_key": F.when(S.usable(S.salt_key(s)) & ~s.rlike(S.NOISE), S.salt_key(s)), "effects": T.side_effects(F.array(e))},
+    ["description", "salt_key", "effects"],
+)
+golden("m7_set_builder", ["a", "b", "sa", "sb"], [("Dolo", "Dolo 650", "view company", "Paracetamol (650mg)", "Dolo 650", "Paracetamol (650mg)"), ("Dolo 650", "", "Paracetamol", None, "Dolo 650", "Paracetamol")], lambda a, b, sa, sb: {"name": T.longer(a, b), "salt": S.better(sa, sb)}, ["name", "salt"])
+golden("x6_headings", ["h"], [("<h2>Uses</h2><p>Pain</p><h3>How <b>it</b> works</h3><div>Well</div>", ["Uses", "How it works"], ["Pain", "Well"]), ("<p>none</p>", [], [])], lambda h: {"heads": F.transform(X.headed(h), lambda s: s["heading"]), "bodies": F.transform(X.headed(h), lambda s: s["body"])}, ["heads", "bodies"])
+
+
+@op("e19_overlap_groups", duck("""
+x AS (SELECT DISTINCT name, strength FROM med WHERE size < 4),
+p AS (SELECT a.strength, a.name AS a_name, b.name AS b_name FROM x a JOIN x b ON a.strength = b.strength AND a.name < b.name)
+SELECT strength, a_name, b_name FROM p WHERE CAST(len(list_intersect(string_split(a_name, ' '), string_split(b_name, ' '))) AS DOUBLE) / greatest(len(string_split(a_name, ' ')), len(string_split(b_name, ' '))) >= 0.5""", "med"))
+def e19(spark, d):
+    """Distinct names of one dose that share half the words of the longer; words in common bring the pairs together."""
+    x = V.med(spark, d).where("size < 4").select("name", "strength").distinct()
+    w = x.select("name", "strength", F.explode(F.array_distinct(F.split("name", " "))).alias("w"), F.size(F.split("name", " ")).alias("n"))
+    a, b = w.alias("a"), w.alias("b")
+    on = (F.col("a.strength") == F.col("b.strength")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.name") < F.col("b.name"))
+    shared = a.join(b, on).groupBy(F.col("a.strength").alias("strength"), F.col("a.name").alias("a_name"), F.col("b.name").alias("b_name")).agg(F.count("*").alias("k"), F.max(F.greatest("a.n", "b.n")).alias("n"))
+    return shared.where(F.col("k") / F.col("n") >= 0.5).select("strength", "a_name", "b_name")
+
+
+@op("snk5_m20_worklist", duck("SELECT CAST(medicine_id AS VARCHAR) AS medicine_id, manufacturer FROM med WHERE size = 3", "med"))
+def snk5(spark, d):
+    """A worklist as tab-separated text in the shared folder, read back."""
+    from tidemark.sources.folders import shared
+    from tidemark.sources.sinks import worklist
+
+    path = f"{shared(spark)}/work-{uuid.uuid4().hex}"
+    worklist(V.med(spark, d).where("size = 3").select("medicine_id", "manufacturer"), path)
+    return spark.read.schema("medicine_id string, manufacturer string").option("sep", "\t").option("header", True).csv(path)
+
+
+@op("st5_st6_stream_demand", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS hits FROM events WHERE CAST(ts AS DATE) < (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) FROM events) GROUP BY 1, 2")
+def st56(spark, d):
+    """Daily demand as a stream, drained exactly once; days that the watermark has passed are closed."""
+    from tidemark.sources.folders import shared
+    from tidemark.sources.tables import table
+    from tidemark.streaming.prices import daily_demand, drained
+
+    base = f"{shared(spark)}/demand-{uuid.uuid4().hex}"
+    events = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    events.coalesce(1).write.parquet(f"{base}/in")
+    return drained(daily_demand(spark.readStream.schema(events.schema).parquet(f"{base}/in")), f"{base}/out", f"{base}/ck")

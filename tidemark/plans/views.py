@@ -33,7 +33,7 @@ def listing(spark: SparkSession, d: str) -> DataFrame:
 
 def latest(rows: DataFrame) -> DataFrame:
     """The newest row per (medicine, platform): late observations never replace newer ones."""
-    w = Window.partitionBy("medicine_id", "platform").orderBy(F.desc("scraped_at"), F.desc("tie"))
+    w = Window.partitionBy("medicine_id", "platform").orderBy(F.desc("scraped_at"), *[F.desc(f"tie.{c}") for c in ("l_orderkey", "l_linenumber", "l_suppkey")])
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

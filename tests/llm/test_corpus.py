@@ -129,6 +129,22 @@ def test_near_duplicates_leave_one(spark):
     assert {x.doc_id for x in got if x.doc_id is not None} == want and sum(x.doc_id is None for x in got) == 1 and got[0].key == "clash"
 
 
+@pytest.mark.parametrize("limits", [{}, {"block": 40}, {"crowd": 500}], ids=["crowd", "blocks", "pairs"])
+def test_near_duplicates_of_a_middle_document(spark, limits):
+    r, words = random.Random(12), vocabulary(n=2000)
+    base = [r.choice(words) for _ in range(400)]
+    rows = []
+    for k in range(121):
+        copy = list(base)
+        for at in r.sample(range(400), 0 if k == 60 else 8):
+            copy[at] = f"changed{k}x{at}"
+        rows.append((k, " ".join(copy), "en", "s", 1))
+    sets = [frozenset(simhash.shingle_hashes(x[1], 5).tolist()) for x in rows]
+    near = [(i, j) for i in range(121) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    gone = simhash.superseded(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), **limits).collect()
+    assert {x.doc_id for x in gone} == {i for i, root in enumerate(components(near, 121)) if root != i} and len(gone) > 100
+
+
 def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "u long, v long")).collect()}

@@ -17,6 +17,8 @@ found by star contraction.
 0.8 or more over five words).  Their fingerprints differ by some ten bits, where no block of bits
 is selective, so pairs there come from shared least shingle hashes, are discarded by
 the same tables, and are verified on the whole shingle sets of the documents that are left in a pair.
+Crowded buckets of least hashes are searched breadth first on the whole sets instead: each set
+that is reached meets all those not reached yet, so a large group costs few passes over it.
 
 Null texts count as empty; texts without words have fingerprint zero and are linked like any
 other; with fewer words than a shingle has, the whole sequence is the one shingle.  Repeated rows
@@ -139,6 +141,8 @@ def simhash_components(docs: DataFrame, size: int = 3, bucket: int = BUCKET) ->
 BANDS, ROWS, REACH = 16, 3, 24
 #: Sets of fewer shingles skip the tables: their fingerprints are too noisy to discard by.
 FEW = 40
+#: Buckets of up to ``CROWD`` sets are joined with themselves; larger ones are searched in blocks of about ``BLOCK``, two at a time.
+CROWD, BLOCK = 16, 1024
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
@@ -180,23 +184,64 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return documents(docs).mapInArrow(run, "doc_id long, set array<long>")
 
 
-def superseded(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+def spanning_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """(x, y): links that join all sets (sorted, not empty) that are alike, directly or by way of each other.
+
+    A breadth-first search: each set that is reached meets all that no set has reached yet, so only pairs
+    that are in one component by other links go untested.
+    """
+    n = np.array([len(s) for s in sets])
+    fp = np.array([fingerprint(s) for s in sets], "<i8").view("<u8")
+    left, out = np.arange(len(sets)), []
+    while len(left):
+        reached, left = [left[0]], left[1:]
+        while reached and len(left):
+            x = reached.pop()
+            least, most = np.minimum(n[x], n[left]), np.maximum(n[x], n[left])
+            may = (most * similarity <= least) & ((np.bitwise_count(fp[x] ^ fp[left]) <= REACH) | (least < FEW))
+            met = left[may]
+            if not len(met):
+                continue
+            flat = np.concatenate([sets[y] for y in met])
+            at = np.minimum(np.searchsorted(sets[x], flat), n[x] - 1)
+            shared = np.add.reduceat((sets[x][at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(n[met])[:-1]]))
+            near = met[shared >= similarity * (n[x] + n[met] - shared)]
+            out += [(int(x), int(y)) for y in near]
+            reached += near.tolist()
+            left = np.setdiff1d(left, near, assume_unique=True)
+    return out
+
+
+def superseded(docs: DataFrame, size: int = 5, similarity: float = 0.8, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """(doc_id): documents alike, directly or in a chain, to one of a smaller doc_id."""
     named = docs.where(F.col("doc_id").isNotNull())
     each = cut(sketches(named, size))
     # Copies meet here: from now on there is a row per distinct set, named by its smallest document.
     reps = each.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     keyed = reps.select(F.struct("doc", "fp", "n", *pivot_table(F.col("fp"))).alias("a"), F.posexplode("bands").alias("c", "m"))
-    # Every member of a bucket meets its first and its last: as many pairs as twice its members.
-    ends = keyed.groupBy("c", "m").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi")
-    met = keyed.join(ends, ["c", "m"]).select("a", F.explode(F.array("lo", "hi")).alias("b")).where("a.doc <> b.doc")
+    sizes = keyed.groupBy("c", "m").agg(F.count("*").alias("members")).where("members > 1")
+    shared = cut(keyed.join(sizes, ["c", "m"]))
+    small = shared.where(F.col("members") <= crowd).select("c", "m", "a")
+    met = small.join(small.select("c", "m", F.col("a").alias("b")), ["c", "m"]).where("a.doc > b.doc")
     close = may_link("a", "b", REACH) | (F.least("a.n", "b.n") < FEW)
-    pairs = cut(met.where((F.greatest("a.n", "b.n") * F.lit(similarity) <= F.least("a.n", "b.n")) & close).select(F.greatest("a.doc", "b.doc").alias("u"), F.least("a.doc", "b.doc").alias("v")).distinct())
-    wanted = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    sets = shingle_sets(named.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), size)
+    pairs = cut(met.where((F.greatest("a.n", "b.n") * F.lit(similarity) <= F.least("a.n", "b.n")) & close).select(F.col("a.doc").alias("u"), F.col("b.doc").alias("v")).distinct())
+    # A crowded bucket's blocks meet two at a time (one alone meets itself), so every two members are in some unit together.
+    blocks = F.ceil(F.col("members") / F.lit(block))
+    mine = F.pmod(F.xxhash64("a.doc"), blocks)
+    units = F.expr("transform(filter(sequence(0L, blocks - 1), i -> blocks = 1 or i <> mine), i -> struct(least(i, mine) as i, greatest(i, mine) as j))")
+    crowded = cut(shared.where(F.col("members") > crowd).select("c", "m", F.col("a.doc").alias("doc_id"), blocks.alias("blocks"), mine.alias("mine")).select("c", "m", "doc_id", F.explode(units).alias("unit")).select("c", "m", "unit.i", "unit.j", "doc_id"))
+    wanted = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).unionByName(crowded.select("doc_id")).distinct()
+    sets = cut(shingle_sets(named.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), size).where(F.size("set") > 0))
     both = pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("set").alias("su")), "u").join(sets.select(F.col("doc_id").alias("v"), F.col("set").alias("sv")), "v")
-    shared = F.size(F.array_intersect("su", "sv"))
-    alike = both.where(shared >= F.lit(similarity) * (F.size("su") + F.size("sv") - shared)).select("u", "v")
+    common = F.size(F.array_intersect("su", "sv"))
+    alike = both.where(common >= F.lit(similarity) * (F.size("su") + F.size("sv") - common)).select("u", "v")
+
+    def search(unit: pa.Table) -> pa.Table:
+        found = spanning_links([np.asarray(s.values).view("<u8") for s in unit["set"]], similarity)
+        doc = unit["doc_id"].to_numpy()
+        return pa.table({"u": pa.array([doc[x] for x, _ in found], pa.int64()), "v": pa.array([doc[y] for _, y in found], pa.int64())})
+
+    alike = alike.unionByName(crowded.join(sets, "doc_id").groupBy("c", "m", "i", "j").applyInArrow(search, "u long, v long"))
     roots = components(alike)
     firsts = reps.select("digest", "doc").join(roots, F.col("doc") == F.col("node"), "left").select("digest", F.coalesce("root", "doc").alias("root"))
     return each.select("doc_id", "digest").join(firsts, "digest").groupBy("doc_id").agg(F.min("root").alias("root")).where("doc_id <> root").select("doc_id")

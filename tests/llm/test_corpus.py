@@ -145,6 +145,19 @@ def test_near_duplicates_of_a_middle_document(spark, limits):
     assert {x.doc_id for x in gone} == {i for i, root in enumerate(components(near, 121)) if root != i} and len(gone) > 100
 
 
+def test_near_duplicates_with_a_repeated_line(spark):
+    r, words = random.Random(21), vocabulary(n=2000)
+    rows = []
+    for k in range(10):
+        base = " ".join(r.choice(words) for _ in range(404))
+        line = " ".join(f"menu{k}x{i}" for i in range(5))
+        rows += [(2 * k, base, "en", "s", 1), (2 * k + 1, f"{base} {' '.join([line] * 40)}", "en", "s", 1)]
+    sets = [set(simhash.shingle_hashes(x[1], 5).tolist()) for x in rows]
+    assert all(len(a & b) >= 0.8 * len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True))
+    gone = simhash.superseded(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()
+    assert {x.doc_id for x in gone} == {2 * k + 1 for k in range(10)}
+
+
 def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "u long, v long")).collect()}

@@ -146,7 +146,10 @@ CROWD, BLOCK = 16, 1024
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, digest, fp, n, bands): a digest of each row's shingle set, its size, and band keys of its least hashes."""
+    """(doc_id, digest, fp, n, bands) of each row's shingle set: a digest, the fingerprint, the size, and band keys of the least hashes.
+
+    Repeats count once here, as in the similarity: a phrase said often must not move the fingerprint.
+    """
     rng = np.random.default_rng(SEED)
     mul = rng.integers(1, 1 << 62, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -165,9 +168,8 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
         for b in batches:
             rows = []
             for t in b.column("text"):
-                h = shingle_hashes(t.as_py(), size)
-                s = np.unique(h)
-                rows.append((xxhash.xxh64_intdigest(s.tobytes(), seed=7) - (1 << 63), fingerprint(h), len(s), bands(s) if len(s) else []))
+                s = np.unique(shingle_hashes(t.as_py(), size))
+                rows.append((xxhash.xxh64_intdigest(s.tobytes(), seed=7) - (1 << 63), fingerprint(s), len(s), bands(s) if len(s) else []))
             cols = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.record_batch([b.column("doc_id"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["doc_id", "digest", "fp", "n", "bands"])
 

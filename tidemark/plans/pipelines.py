@@ -85,6 +85,25 @@ def st14(spark, d):
     return drained(monotone(stream), f"{src}-out", f"{src}-ck").select("medicine_id", "platform", "scraped_at", "sale", "old_sale")
 
 
+@op("st1_st4_stream_changes_whole", duck("""
+x AS (SELECT medicine_id, platform, scraped_at, sale, row_number() OVER (ORDER BY scraped_at, t1, t2, medicine_id, t3) AS seq FROM listing),
+h AS (SELECT *, lag(sale) OVER (PARTITION BY medicine_id, platform ORDER BY scraped_at, seq) AS old_sale FROM x)
+SELECT medicine_id, platform, scraped_at, sale, old_sale FROM h WHERE old_sale IS NULL OR sale <> old_sale""", "listing"))
+def st14_whole(spark, d):
+    """``st14`` over all medicines; the sequence numbers count within a key, so no task sorts the whole table."""
+    from pyspark.sql.window import Window
+
+    from tidemark.sources.folders import shared
+    from tidemark.streaming.prices import drained, monotone
+
+    base = shared(spark)
+    rows = V.listing(spark, d).withColumn("seq", F.row_number().over(Window.partitionBy("medicine_id", "platform").orderBy("scraped_at", "tie.l_orderkey", "tie.l_linenumber", "tie.l_suppkey")).cast("long"))
+    src = f"{base}/in-{uuid.uuid4().hex}"
+    rows.select("medicine_id", "platform", "scraped_at", "seq", "sale").write.parquet(src)
+    stream = spark.readStream.schema("medicine_id long, platform string, scraped_at timestamp, seq long, sale double").parquet(src)
+    return drained(monotone(stream), f"{src}-out", f"{src}-ck").select("medicine_id", "platform", "scraped_at", "sale", "old_sale")
+
+
 _NOW = "2024-01-01"
 _STATE = [("a", "READY", None, 0), ("b", "IN_PROGRESS", "r1", 0), ("c", "IN_PROGRESS", "r1", 4), ("d", "IN_PROGRESS", "r1", 1), ("e", "IN_PROGRESS", "r1", 2), ("f", "SUCCESS", None, 0)]
 _EVENTS = [("a", "r9", "claim"), ("b", "r1", "success"), ("c", "r1", "failure"), ("d", "r2", "success"), ("e", "r1", "heartbeat")]

@@ -54,6 +54,15 @@ def j9(spark, d):
     return a.join(b, "p").where(I.same_medicine(F.col("a"), F.col("b"))).groupBy("medicine_id").agg(F.min("match_id").alias("match_id"))
 
 
+@op("j9_prefix_lookup_whole", duck("SELECT medicine_id, min(medicine_id) OVER (PARTITION BY name, strength, form) AS match_id FROM med", "med"))
+def j9_whole(spark, d):
+    """``j9`` over all medicines: equal names meet once, under their smallest id."""
+    x = V.med(spark, d).groupBy("title").agg(F.min("medicine_id").alias("id")).select("title", "id", I.identity(F.col("title"), F.lit("")).alias("x")).withColumn("p", I.brand_prefix(F.col("x")))
+    a, b = x.select("title", F.col("x").alias("a"), "p"), x.select("id", F.col("x").alias("b"), "p")
+    found = a.join(b, "p").where(I.same_medicine(F.col("a"), F.col("b"))).groupBy("title").agg(F.min("id").alias("match_id"))
+    return V.med(spark, d).select("medicine_id", "title").join(found, "title").select("medicine_id", "match_id")
+
+
 @op("j14_m16_scored_seeds", "SELECT * FROM (VALUES ('Dolo 650', 'Dolo 650 Tablet', CAST(0.9 AS DOUBLE)), ('Crocin 500', 'Crocin 500', 0.9)) t(query, name, score)")
 def j14(spark, d):
     """Listings of each query by query key, scored, those under 0.2 out."""
@@ -71,6 +80,12 @@ def e14(spark, d):
     return m.groupBy("core").agg(F.count("*").alias("n"), F.countDistinct("strength").alias("doses")).where("doses > 1")
 
 
+@op("e14_interlink_integers_whole", duck("SELECT name AS core, count(*) AS n, count(DISTINCT strength) AS doses FROM med GROUP BY 1 HAVING count(DISTINCT strength) > 1", "med"))
+def e14_whole(spark, d):
+    """``e14`` over all sizes."""
+    return V.med(spark, d).groupBy(F.col("name").alias("core")).agg(F.count("*").alias("n"), F.countDistinct("strength").alias("doses")).where("doses > 1")
+
+
 @op("m6_bad_keys_reset", duck("SELECT medicine_id, CASE WHEN length(salt_key) <= 4 THEN NULL ELSE salt_key END AS salt_key FROM med", "med"))
 def m6(spark, d):
     return V.med(spark, d).select("medicine_id", F.when(F.char_length("salt_key") > 4, F.col("salt_key")).alias("salt_key"))
@@ -113,18 +128,30 @@ golden("m7_set_builder", ["a", "b", "sa", "sb"], [("Dolo", "Dolo 650", "view com
 golden("x6_headings", ["h"], [("<h2>Uses</h2><p>Pain</p><h3>How <b>it</b> works</h3><div>Well</div>", ["Uses", "How it works"], ["Pain", "Well"]), ("<p>none</p>", [], [])], lambda h: {"heads": F.transform(X.headed(h), lambda s: s["heading"]), "bodies": F.transform(X.headed(h), lambda s: s["body"])}, ["heads", "bodies"])
 
 
+def _overlapping(x):
+    w = x.select("name", "strength", F.explode(F.array_distinct(F.split("name", " "))).alias("w"), F.size(F.split("name", " ")).alias("n"))
+    a, b = w.alias("a"), w.alias("b")
+    on = (F.col("a.strength") == F.col("b.strength")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.name") < F.col("b.name"))
+    shared = a.join(b, on).groupBy(F.col("a.strength").alias("strength"), F.col("a.name").alias("a_name"), F.col("b.name").alias("b_name")).agg(F.count("*").alias("k"), F.max(F.greatest("a.n", "b.n")).alias("n"))
+    return shared.where(F.col("k") / F.col("n") >= 0.5).select("strength", "a_name", "b_name")
+
+
 @op("e19_overlap_groups", duck("""
 x AS (SELECT DISTINCT name, strength FROM med WHERE size < 4),
 p AS (SELECT a.strength, a.name AS a_name, b.name AS b_name FROM x a JOIN x b ON a.strength = b.strength AND a.name < b.name)
 SELECT strength, a_name, b_name FROM p WHERE CAST(len(list_intersect(string_split(a_name, ' '), string_split(b_name, ' '))) AS DOUBLE) / greatest(len(string_split(a_name, ' ')), len(string_split(b_name, ' '))) >= 0.5""", "med"))
 def e19(spark, d):
     """Distinct names of one dose that share half the words of the longer; words in common bring the pairs together."""
-    x = V.med(spark, d).where("size < 4").select("name", "strength").distinct()
-    w = x.select("name", "strength", F.explode(F.array_distinct(F.split("name", " "))).alias("w"), F.size(F.split("name", " ")).alias("n"))
-    a, b = w.alias("a"), w.alias("b")
-    on = (F.col("a.strength") == F.col("b.strength")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.name") < F.col("b.name"))
-    shared = a.join(b, on).groupBy(F.col("a.strength").alias("strength"), F.col("a.name").alias("a_name"), F.col("b.name").alias("b_name")).agg(F.count("*").alias("k"), F.max(F.greatest("a.n", "b.n")).alias("n"))
-    return shared.where(F.col("k") / F.col("n") >= 0.5).select("strength", "a_name", "b_name")
+    return _overlapping(V.med(spark, d).where("size < 4").select("name", "strength").distinct())
+
+
+@op("e19_overlap_groups_whole", duck("""
+x AS (SELECT DISTINCT name, strength FROM med),
+p AS (SELECT a.strength, a.name AS a_name, b.name AS b_name FROM x a JOIN x b ON a.strength = b.strength AND a.name < b.name)
+SELECT strength, a_name, b_name FROM p WHERE CAST(len(list_intersect(string_split(a_name, ' '), string_split(b_name, ' '))) AS DOUBLE) / greatest(len(string_split(a_name, ' ')), len(string_split(b_name, ' '))) >= 0.5""", "med"))
+def e19_whole(spark, d):
+    """``e19`` over all sizes."""
+    return _overlapping(V.med(spark, d).select("name", "strength").distinct())
 
 
 @op("snk5_m20_worklist", duck("SELECT CAST(medicine_id AS VARCHAR) AS medicine_id, manufacturer FROM med WHERE size = 3", "med"))

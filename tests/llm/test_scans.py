@@ -83,6 +83,21 @@ def test_licenses(spark):
     assert licenses.document_licenses(edge_frame(spark)).count() == len(edge_rows())
 
 
+def test_ordinary_license_headers(spark):
+    heads = {
+        "Copyright (c) 2019 Acme Inc. All rights reserved.": "proprietary",
+        "SPDX-License-Identifier: MIT": "MIT",
+        "// SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0",
+        "This file is part of Foo and is released under the MIT License, see the LICENSE file for details.": "MIT",
+        "The photos were taken by our staff in May. This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+        "You need a driving license to rent a car here, and the desk will copy it.": None,
+        "Released under the Foo License": None,
+    }
+    rows = [(i, f"d{i}/x.txt", f"some words\n{t}\nmore words") for i, t in enumerate(heads)]
+    got = {r.doc_id: r.own_license for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert [got[i] for i in range(len(heads))] == list(heads.values())
+
+
 BENCH = [(1, "The quick brown fox jumps over the lazy dog again and again"), (2, "short item"), (10, "the quick brown fox jumps over the lazy dog again and again"), (None, "nameless item of some words that goes on for ten words"), (3, ""), (4, None), (1, "short item")]
 TEXTS = ["Say: THE quick, brown fox jumps over the lazy dog again and again! ok", "a short item here short item", None, "", "é short-item x", "nameless item of some words that goes on for ten words", "clean words", "the quick brown fox jumps over the lazy dog again"]
 

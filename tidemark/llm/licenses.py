@@ -4,7 +4,9 @@ A header is a line with a licence cue; a licence file is one named like one, or
 header words are at least ``FILE_SHARE`` of all words.  Headers, and the whole text of files named like licences,
 are vectors of term counts times a weight (the smoothed inverse frequency among the templates, in
 thousandths, as a whole number).  The best cosine to a template of at least ``LEAST`` names the licence; ties go to the
-smallest name.  All sums are of whole numbers, so they do not depend on their order.
+smallest name.  Where the whole line is below that, its windows that hold a cue and are as long as a template (or as
+one of the SPDX tags of ``TAGS``) are scored each, so words around a licence do not hide it; there at least
+``WINDOW_LEAST`` names it, as shorter windows agree by chance more easily.  All sums are of whole numbers, so they do not depend on their order.
 
 A file without a licence of its own takes that of its nearest ancestor directory that has a licence file.
 Directories are made distinct before they are joined to their ancestors, so a directory
@@ -52,7 +54,12 @@ TEMPLATES = {
 CUE = "licen[cs]e|copyright|spdx|permission is hereby|redistribution|rights reserved|free software|creative commons|mozilla public|released under"
 NAMED = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
 TERM = "[a-z0-9]+"
-LEAST, FILE_SHARE = 600_000, 0.1
+LEAST, WINDOW_LEAST, FILE_SHARE = 600_000, 900_000, 0.1
+#: Tags that stand for a licence, matched by windows alone.
+TAGS = {
+    "Apache-2.0": "Apache-2.0", "BSD-3-Clause": "BSD-3-Clause", "CC-BY-4.0": "CC-BY-4.0", "CC-BY-NC-4.0": "CC-BY-NC-4.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0",
+    "GPL-2.0": "GPL-2.0", "GPL-3.0": "GPL-3.0", "MIT": "MIT", "MPL-2.0": "MPL-2.0",
+}
 
 
 def vectors() -> tuple[dict[str, int], int, list[tuple[str, dict[str, int], int]]]:
@@ -83,13 +90,41 @@ def _best(terms: str) -> str:
     return f"if(size({terms}) = 0, named_struct('score', 0L, 'no', 0), transform(array({mapped(weights)}), w -> transform(array({vec}), v -> transform(array({square}), q -> array_max(array({scores})))[0])[0])[0])"
 
 
+def tagged() -> list[tuple[str, dict[str, int], int]]:
+    """The templates and behind them the SPDX tags, as ``vectors`` gives them."""
+    weights, other, out = vectors()
+    for name, tag in sorted(TAGS.items()):
+        terms = re.findall(TERM, f"SPDX-License-Identifier: {tag}".lower())
+        v = {t: terms.count(t) * weights.get(t, other) for t in sorted(set(terms))}
+        out.append((name, v, sum(x * x for x in v.values())))
+    return out
+
+
+def _window(terms: str) -> str:
+    """{score, name} of the best window, as ``_best`` gives them."""
+    weights, other, _ = vectors()
+    sizes = [len(re.findall(TERM, text.lower())) for _, texts in sorted(TEMPLATES.items()) for text in texts]
+    sizes += [len(re.findall(TERM, f"SPDX-License-Identifier: {tag}".lower())) for _, tag in sorted(TAGS.items())]
+    mapped = lambda v: "map(" + ", ".join(f"'{t}', {x}L" for t, x in v.items()) + ")"
+    all_of = ", ".join(f"named_struct('no', {-i}, 'len', {size}, 'n2', {float(n2)!r}D, 'm', {mapped(v)})" for i, ((_, v, n2), size) in enumerate(zip(tagged(), sizes, strict=True)))
+    vec = f"transform(array_distinct(u), t -> named_struct('t', t, 'x', cast(size(filter(u, z -> z = t)) as bigint) * coalesce(try_element_at(w, t), {other}L)))"
+    dot = "aggregate(v, 0L, (a, y) -> a + y.x * coalesce(try_element_at(p.m, y.t), 0L))"
+    square = "aggregate(v, 0L, (a, y) -> a + y.x * y.x)"
+    score = f"transform(array({vec}), v -> cast(floor(cast({dot} as double) / sqrt(cast({square} as double) * p.n2) * 1000000D + 0.5D) as bigint))[0]"
+    cut = f"filter(transform(sequence(1, size({terms}) - p.len + 1), i -> slice({terms}, i, p.len)), u -> array_join(u, ' ') rlike '{CUE}')"
+    each = f"transform(filter(array({all_of}), p -> p.len <= size({terms})), p -> named_struct('score', coalesce(array_max(transform({cut}, u -> {score})), 0L), 'no', p.no))"
+    return f"transform(array({mapped(weights)}), w -> coalesce(array_max({each}), named_struct('score', 0L, 'no', 0)))[0]"
+
+
 def own_license() -> str:
     """SQL for {score, license, is_file} of ``__tm_low``: what a file's headers (and, by its name, whole text) say."""
-    names = [name for name, _, _ in vectors()[2]]
+    names = [name for name, _, _ in tagged()]
     terms = f"regexp_extract_all(line, '{TERM}', 0)"
     heads = f"filter(split(x.t, '\\n', -1), line -> line rlike '{CUE}')"
     parts = "concat(h, if(x.named, array(x.t), array()))"
-    per = f"transform({parts}, line -> transform(array({terms}), ts -> {_best('ts')})[0])"
+    # A window counts only from its own limit on, so lines that name no licence keep the score of the whole.
+    best = f"transform(array({_best('ts')}), b -> if(b.score >= {LEAST}, b, transform(array({_window('ts')}), o -> if(o.score >= {WINDOW_LEAST}, o, b))[0]))[0]"
+    per = f"transform({parts}, line -> transform(array({terms}), ts -> {best})[0])"
     top = f"coalesce(array_max({per}), named_struct('score', 0L, 'no', 0))"
     share = f"aggregate(h, 0, (a, line) -> a + size({terms})) >= {FILE_SHARE} * size(regexp_extract_all(x.t, '{TERM}', 0))"
     array = "array(" + ", ".join(f"'{n}'" for n in names) + ")"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import dosage as D
 from tidemark.functions import salts as S
 
 _MAKERS = sorted(
@@ -38,3 +40,81 @@ def alike_groups(rows: DataFrame, one_dose: bool = False, least: float = 0.6) ->
     a, b = names.alias("a"), names.alias("b")
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.name") < F.col("b.name"))).groupBy(F.col("a.key").alias("key")).agg(F.min(S.word_jaccard(F.col("a.name"), F.col("b.name"))).alias("least"))
     return groups.join(pairs, "key", "left").where(F.coalesce("least", F.lit(1.0)) >= least).select("key", "n")
+
+
+def _core() -> Column:
+    return matching_name(F.coalesce(F.nullif("normalized_name", F.lit("")), "name"))
+
+
+def _dose() -> Column:
+    return D.fuzzier(D.fuzzy_dose(F.col("name")), D.fuzzy_dose(F.col("dosage")))
+
+
+def fuzzy_key_groups(rows: DataFrame, least: float = 0.6) -> DataFrame:
+    """(key, n): pass 2, groups of one core and dose that went in under several canonical keys.
+
+    ``rows`` have name, normalized_name, dosage and canonical_key; those without core or dose take no part.
+    """
+    keyed = rows.select(_core().alias("core"), _dose().alias("dose"), matching_name(F.col("name")).alias("name"), F.nullif("canonical_key", F.lit("")).alias("canonical"))
+    keyed = keyed.where("core <> '' AND dose IS NOT NULL").withColumn("key", F.concat_ws("|", "core", "dose"))
+    several = keyed.groupBy("key").agg(F.countDistinct("canonical").alias("keys")).where("keys > 1")
+    return alike_groups(keyed, one_dose=True, least=least).join(several, "key", "left_semi")
+
+
+def integer_dose_groups(rows: DataFrame, least: float = 0.6) -> DataFrame:
+    """(key, n): pass 3, groups of one core, salt and whole part of the dose whose doses differ.
+
+    ``rows`` have name, normalized_name, dosage and salt; those without core or whole part take no part.
+    """
+    salt = F.coalesce(F.nullif(F.regexp_replace(F.lower("salt"), "[^a-z0-9]", ""), F.lit("")), F.lit("NOSALT"))
+    keyed = rows.select(_core().alias("core"), _dose().alias("dose"), matching_name(F.col("name")).alias("name"), salt.alias("salt")).withColumn("ints", D.dose_integers(F.col("dose")))
+    keyed = keyed.where("core <> '' AND ints IS NOT NULL").withColumn("key", F.concat_ws("|", "core", "ints", "salt"))
+    several = keyed.groupBy("key").agg(F.countDistinct("dose").alias("doses")).where("doses > 1")
+    return alike_groups(keyed, least=least).join(several, "key", "left_semi")
+
+
+_OVERLAP_PARTS = "tablet tablets tab tabs capsule capsules cap caps strip strips pack bottle syrup suspension injection drop drops ointment cream gel spray sachet box of new".split()
+
+
+def overlap_name(name: Column, maker: Column) -> Column:
+    """A name without the words of its own maker, forms, packs and doses; bare numbers stay."""
+    words = F.filter(F.split(F.lower(F.coalesce(maker, F.lit(""))), r"\s+"), lambda w: (F.char_length(w) > 2) & ~w.isin("ltd", "pvt", "limited", "private", "pharma", "pharmaceuticals"))
+    n = F.aggregate(words, F.lower(F.coalesce(name, F.lit(""))), lambda a, w: F.regexp_replace(a, F.concat(F.lit(_B + r"\Q"), w, F.lit(r"\E" + _E)), F.lit("")))
+    for pattern, put in ((rf"{_B}(?:{'|'.join(_OVERLAP_PARTS)}){_E}", " "), (rf"{_B}\d+\s*'s{_E}", " "), (r"[^a-z0-9\s\-.]", " "), (rf"{_B}{NUMBER}\s*(?:(?:mg|ml|mcg|gm|g|kg){_E}|%(?=[a-z0-9_]))", ""), (r"\s+", " ")):
+        n = F.regexp_replace(n, pattern, put)
+    return F.trim(F.regexp_replace(F.trim(n), r"[\s\-,.|:]+$", ""))
+
+
+def overlap_groups(rows: DataFrame, least: float = 0.8) -> DataFrame:
+    """(dose, leader, id): each name joins the first leader (by id) of its dose with which it shares ``least`` of the longer's words.
+
+    ``rows`` have id, name, dosage and manufacturer. A name that joins none leads; leaders that none joins are left out.
+    Greedy groups depend on the order, so a dose is one unit of work; words lead to the leaders, and no pairs are made.
+    """
+    dose = F.regexp_replace(F.regexp_replace(F.lower("dosage"), r"\s+", ""), r"^(.*?)[.]0(?=mg|ml|mcg|g|kg|%)", "$1")
+    named = rows.select("id", dose.alias("dose"), overlap_name(F.col("name"), F.col("manufacturer")).alias("name")).where("dose <> '' AND name <> ''")
+
+    def group(t: pa.Table) -> pa.Table:
+        leaders: list[tuple[int, int]] = []  # id and number of words
+        by_word: dict[str, list[int]] = {}
+        of: dict[frozenset, int] = {}
+        members: dict[int, list[int]] = {}
+        for i, name in sorted(zip(t["id"].to_pylist(), t["name"].to_pylist(), strict=True)):
+            words = frozenset(name.split(" "))
+            if words not in of:
+                shared: dict[int, int] = {}
+                for w in words:
+                    for k in by_word.get(w, ()):
+                        shared[k] = shared.get(k, 0) + 1
+                first = min((k for k, c in shared.items() if c / max(len(words), leaders[k][1]) >= least), default=None)
+                if first is None:
+                    first = len(leaders)
+                    leaders.append((i, len(words)))
+                    for w in words:
+                        by_word.setdefault(w, []).append(first)
+                of[words] = first
+            members.setdefault(of[words], []).append(i)
+        found = [(leaders[k][0], i) for k, ids in members.items() if len(ids) > 1 for i in ids]
+        return pa.table({"dose": pa.array([t["dose"][0].as_py()] * len(found), pa.string()), "leader": pa.array([x for x, _ in found], pa.int64()), "id": pa.array([i for _, i in found], pa.int64())})
+
+    return named.groupBy("dose").applyInArrow(group, "dose string, leader long, id long")

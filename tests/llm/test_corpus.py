@@ -46,6 +46,15 @@ def test_compression_bands():
     assert quality.compressed_badly(mixed.encode()) and noise
 
 
+def test_compression_of_the_last_chunk():
+    r = random.Random(6)
+    prose = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(2, 9))) for _ in range(1200)).encode()
+    line = b"the very same line comes again and again\n"
+    assert quality.compressed_badly(prose[:4300] + (line * 100)[:3850])
+    assert not quality.outside(8150, len(quality._compressor().compress(prose[:4300] + (line * 100)[:3850])))
+    assert not quality.compressed_badly(prose[:5000]) and not quality.compressed_badly(prose[:4096] + line * 3)
+
+
 @pytest.mark.parametrize("group", [256, 2], ids=["index", "windows"])
 def test_repeats(spark, group):
     rows = edge_rows()

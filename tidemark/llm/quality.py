@@ -6,8 +6,8 @@ if more than half its words stand in three-word windows that occur twice or more
 The method compresses the whole text and each fixed chunk of it (zstandard, level 3) and compares
 raw / compressed size with limits that depend on the length compressed, as frames of short texts
 carry more overhead and short texts repeat less.  Above the band a text is repetitive, below it
-incompressible.  A document is rejected if its whole ratio leaves the band or if more than a
-quarter of its full chunks leave theirs.
+incompressible.  A document is rejected if its whole ratio leaves the band or if chunks of more than
+a quarter of its bytes leave theirs; the last chunk is judged by the band of its own length.
 
 A null text has no words.  Rows are handled one by one, so repeated rows and ids, or null ids, give
 a row each.  Whole texts are counted and compressed.  Extra columns are ignored by
@@ -52,8 +52,10 @@ def compressed_badly(data: bytes) -> bool:
     z = _compressor().compress
     if outside(len(data), len(z(data))):
         return True
-    full = len(data) // CHUNK
-    return full > 1 and sum(outside(CHUNK, len(z(data[i * CHUNK : (i + 1) * CHUNK]))) for i in range(full)) > BAD_SHARE * full
+    if len(data) <= CHUNK:
+        return False
+    chunks = [data[i : i + CHUNK] for i in range(0, len(data), CHUNK)]
+    return sum(len(c) for c in chunks if outside(len(c), len(z(c)))) > BAD_SHARE * len(data)
 
 
 #: str.split() also cuts at other white space; these stand in for what is not to be cut at.

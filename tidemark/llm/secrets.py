@@ -11,7 +11,8 @@ silences candidates, and entropy spans inside a base span are not repeated.
 
 Positions are code points, ends exclusive.  A null text counts as empty; an empty one has no spans.
 Rows are handled one by one: repeated rows and ids, or null ids, give a row each.  A candidate of
-any length is scanned in time linear in its length.  Extra columns are ignored.
+any length is scanned in time linear in its length; many matches in one text cost the power 1.5 of their number, of array copies only.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,22 +44,41 @@ ALLOW = (
 )
 
 
-def _pieces(text: str, pattern: str, made: str) -> str:
-    """Spans [s, e) with text ``m`` of all matches; ``made`` is the condition on (m, v), v being group 2 for ASSIGN."""
+def _scan(items: str, start: str, step: str, made: str, kind: str) -> str:
+    """``made`` of each element x and of m, the fold by ``step`` from ``start`` over all elements before it.
+
+    Appending to an array copies it, so the scan goes by blocks of the square root of the array's length: the folds of the blocks
+    first, then the elements of each block.
+    """
+    width = "greatest(1, cast(sqrt(size(z)) as int))"
+    tops = f"aggregate(ps, named_struct('t', cast(array() as array<int>), 'm', {start}), (a, p) -> named_struct('t', array_append(a.t, a.m), 'm', aggregate(p, a.m, (m, x) -> {step})), a -> a.t)"
+    rows = f"aggregate(p, named_struct('r', cast(array() as array<{kind}>), 'm', top), (a, x) -> transform(array(a.m), m -> named_struct('r', array_append(a.r, {made}), 'm', {step}))[0], a -> a.r)"
+    blocks = f"transform(array(transform(sequence(0, size(z) - 1, {width}), i -> slice(z, i + 1, {width}))), ps -> flatten(zip_with(ps, {tops}, (p, top) -> {rows})))[0]"
+    return f"transform(array({items}), z -> if(size(z) = 0, cast(array() as array<{kind}>), {blocks}))[0]"
+
+
+def _pieces(text: str, pattern: str, wanted: str) -> str:
+    """Spans [s, e) with text ``m`` of all matches of which ``wanted`` holds: a condition on y, with y.v the text of group 2 for ASSIGN."""
     group = 2 if pattern == ASSIGN else 0
     quoted = pattern.replace("'", "\\'") if pattern == ASSIGN else pattern
     lit = f"'{quoted}'".replace("\\x20", "\\\\x20")
     parts = f"named_struct('m', regexp_extract_all({text}, {lit}, 0), 'v', regexp_extract_all({text}, {lit}, {group}), 'g', split({text}, {lit}, -1))"
-    fold = """aggregate(sequence(0, size(x.m) - 1), named_struct('o', 0, 'r', cast(array() as array<struct<s:int,e:int,m:string>>)), (a, i) ->
-        named_struct('o', a.o + char_length(x.g[i]) + char_length(x.m[i]), 'r', %s), a -> a.r)"""
-    add = "array_append(a.r, named_struct('s', a.o + char_length(x.g[i]), 'e', a.o + char_length(x.g[i]) + char_length(x.m[i]), 'm', x.m[i]))"
-    fold %= f"if({made.format(m='x.m[i]', v='x.v[i]')}, {add}, a.r)"
-    none = "cast(array() as array<struct<s:int,e:int,m:string>>)"
-    return f"if({text} rlike {lit}, transform(array({parts}), x -> if(size(x.m) = 0, {none}, {fold}))[0], {none})"
+    items = "transform(q.m, (m, i) -> named_struct('m', m, 'v', q.v[i], 'n', char_length(q.g[i]), 'l', char_length(m)))"
+    kind, made = "struct<s:int,e:int,m:string,v:string>", "named_struct('s', m + x.n, 'e', m + x.n + x.l, 'm', x.m, 'v', x.v)"
+    found = f"filter({_scan(items, '0', 'm + x.n + x.l', made, kind)}, y -> {wanted})"
+    return f"if({text} rlike {lit}, transform(array({parts}), q -> {found})[0], cast(array() as array<{kind}>))"
+
+
+#: Windows that are folded at once; the windows before and behind that may belong to a span of theirs.
+BLOCK, AROUND = 512, WIDTH
 
 
 def _windows(c: str) -> str:
-    """Joined windows [s, e) of high entropy in the candidate ``c.m``, in code points from its start."""
+    """Joined windows [s, e) of high entropy in the candidate ``c.m``, in code points from its start.
+
+    Each block of windows is folded together with the ``AROUND`` windows on either side, which show whether a span
+    starts or ends in the block itself.
+    """
     kind = f"case when {c} rlike '^[0-9A-Fa-f]+$' then {MOST['hex']} when {c} rlike '[0-9]' then {MOST['mixed']} else {MOST['alpha']} end"
     steps = f"array({', '.join(f'{v}L' for v in STEP)})"
     # k: packed counts, one character a symbol; h: the sum; r: spans so far, the last of which may still grow.
@@ -66,23 +86,33 @@ def _windows(c: str) -> str:
     count = lambda k, i: f"(ascii(substring({k}, {at(i)}, 1)) - 48)"
     zero = f"named_struct('k', repeat('0', 82), 'h', 0L, 'r', cast(array() as array<struct<s:int,e:int>>))"
     put = lambda k, i, d: f"overlay({k} placing char(48 + {count(k, i)} + {d}) from {at(i)} for 1)"
-    gone = f"if(i < {WIDTH}, a, named_struct('k', {put('a.k', f'i - {WIDTH}', -1)}, 'h', a.h - y.f[{count('a.k', f'i - {WIDTH}')}] + y.f[{count('a.k', f'i - {WIDTH}')} - 1], 'r', a.r))"
+    gone = f"if(i < g.lo + {WIDTH}, a, named_struct('k', {put('a.k', f'i - {WIDTH}', -1)}, 'h', a.h - y.f[{count('a.k', f'i - {WIDTH}')}] + y.f[{count('a.k', f'i - {WIDTH}')} - 1], 'r', a.r))"
     come = f"transform(array({gone}), b -> named_struct('k', {put('b.k', 'i', 1)}, 'h', b.h - y.f[{count('b.k', 'i')}] + y.f[{count('b.k', 'i')} + 1], 'r', b.r))[0]"
-    grow = f"""case when i < {WIDTH - 1} or d.h > y.t then d.r
+    grow = f"""case when i < g.lo + {WIDTH - 1} or d.h > y.t then d.r
         when size(d.r) > 0 and element_at(d.r, -1).e >= i - {WIDTH - 1} then concat(slice(d.r, 1, size(d.r) - 1), array(named_struct('s', element_at(d.r, -1).s, 'e', i + 1)))
         else array_append(d.r, named_struct('s', i - {WIDTH - 1}, 'e', i + 1)) end"""
     step = f"transform(array({come}), d -> named_struct('k', d.k, 'h', d.h, 'r', {grow}))[0]"
-    return f"transform(array(named_struct('c', split({c}, ''), 'f', {steps}, 't', {kind})), y -> aggregate(sequence(0, char_length({c}) - 1), {zero}, (a, i) -> {step}, a -> a.r))[0]"
+    spans_of = f"aggregate(sequence(g.lo, g.hi + {WIDTH - 1}), {zero}, (a, i) -> {step}, a -> a.r)"
+    # o: the block's first window and the next block's; starts and ends are those of windows between.
+    block = f"named_struct('o', o, 'lo', greatest(0, o - {AROUND}), 'hi', least(size(y.c) - {WIDTH}, o + {BLOCK - 1 + AROUND}))"
+    own = lambda p: f"({p} >= g.o and {p} < g.o + {BLOCK})"
+    ends = f"transform({spans_of}, z -> named_struct('s', if({own('z.s')}, z.s, null), 'e', if({own(f'z.e - {WIDTH}')}, z.e, null)))"
+    every = f"flatten(transform(transform(sequence(0, size(y.c) - {WIDTH}, {BLOCK}), o -> {block}), g -> {ends}))"
+    joined = "transform(array(filter(transform(w, z -> z.e), e -> e is not null)), es -> transform(filter(transform(w, z -> z.s), s -> s is not null), (s, i) -> named_struct('s', s, 'e', es[i])))[0]"
+    return f"transform(array(named_struct('c', split({c}, ''), 'f', {steps}, 't', {kind})), y -> transform(array({every}), w -> {joined})[0])[0]"
 
 
 def spans(text: str = "text") -> Column:
     """All spans of a text: array of (s, kind number, e), by start, kind, end."""
-    base = [(k, _pieces(text, p, made)) for k, p, made in ((0, ASSIGN, "char_length({v}) >= 6"), (1, ACCESS, "true"), (2, HEX, "true"))]
+    base = [(k, _pieces(text, p, wanted)) for k, p, wanted in ((0, ASSIGN, "char_length(y.v) >= 6"), (1, ACCESS, "true"), (2, HEX, "true"))]
     found = ", ".join(f"transform({x}, z -> named_struct('s', z.s, 'k', {k}, 'e', z.e))" for k, x in base)
-    allowed = " or ".join(f"x.m[i] rlike '{p}'" for p in ALLOW)
-    wanted = _pieces(text, CANDIDATE, f"not ({allowed})".replace("{", "{{").replace("}", "}}"))
+    # A group that is taken without giving back is matched in a loop, not by a call for each time.
+    allowed = " or ".join(f"y.m rlike '{p.replace(')+[', ')++[')}'" for p in ALLOW)
+    wanted = _pieces(text, CANDIDATE, f"not ({allowed})")
     added = f"flatten(transform({wanted}, c -> transform({_windows('c.m')}, z -> named_struct('s', c.s + z.s, 'k', 3, 'e', c.s + z.e))))"
-    return F.expr(f"transform(array(concat({found})), b -> array_sort(concat(b, filter({added}, n -> not exists(b, o -> o.s <= n.s and o.e >= n.e)))))[0]")
+    # m: the furthest end of a base span that starts no later.
+    seen = _scan(f"array_sort(concat({found}, {added}))", "0", "if(x.k < 3, greatest(m, x.e), m)", "named_struct('x', x, 'new', x.k < 3 or m < x.e)", "struct<x:struct<s:int,k:int,e:int>,new:boolean>")
+    return F.expr(f"transform(filter({seen}, y -> y.new), y -> y.x)")
 
 
 def secrets(docs: DataFrame) -> DataFrame:

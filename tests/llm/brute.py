@@ -59,6 +59,21 @@ def quality(text: str | None) -> tuple:
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(hit), failed
 
 
+def kept(text: str | None, bands: tuple) -> bool:
+    """The whole verdict of the quality rules, said once more: the base rules, then the ratio of the text and of its chunks of 4096 bytes."""
+    import zstandard
+
+    def bad(data: bytes) -> bool:
+        fits = [(low, high) for least, low, high in bands if least <= len(data)]
+        ratio = len(data) / len(zstandard.compress(data, 3)) if data else 1
+        return bool(fits) and not fits[-1][0] - 1e-12 <= ratio <= fits[-1][1] + 1e-12
+
+    data = (text or "").encode()
+    chunks = [data[i : i + 4096] for i in range(0, len(data), 4096)]
+    worst = sum(len(c) for c in chunks if bad(c)) if len(data) > 4096 else 0
+    return not quality(text)[5] and not bad(data) and 4 * worst <= len(data)
+
+
 def repeats(texts: list[str | None], span: int = 200) -> list[tuple]:
     data = [(t or "").encode() for t in texts]
     seen = Counter(hash(b[i : i + span]) for b in data for i in range(len(b) - span + 1))

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import brute
 from brute import as_counter, components, edge_frame, edge_rows, quality as brute_quality, repeats as brute_repeats, sha, vocabulary
 
 from tidemark.llm import graph, linededup, packing, quality, repeats, simhash, tokencount
@@ -32,8 +33,25 @@ def test_quality_counts(spark):
     got = quality.quality(edge_frame(spark)).collect()
     assert as_counter(r[:7] for r in got) == Counter((r[0], *brute_quality(r[1])) for r in rows)
     assert all(not r.kept for r in got if r.base_failed)
+    assert as_counter((r.doc_id, r.kept) for r in got) == Counter((r[0], brute.kept(r[1], quality.BANDS)) for r in rows)
     kept = quality.kept_documents(edge_frame(spark)).collect()
-    assert Counter((r.doc_id, r.text) for r in kept) == Counter((r[0], r[1]) for r in rows if quality.rules(r[1] or "")[6])
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter((r[0], r[1]) for r in rows if brute.kept(r[1], quality.BANDS))
+
+
+def test_calibrated_bands_decide(spark):
+    """Bands drawn from good documents: junk that passes the base rules goes, held-out good documents stay."""
+    r, words = random.Random(31), vocabulary(n=4000)
+    good = lambda: " ".join(r.choice(words) for _ in range(r.randrange(300, 600)))
+    junk = lambda: " ".join(r.choice(words) + "###" for _ in range(r.randrange(180, 310)))
+    rows = [(i, good() if i % 4 else junk(), "en", "s", 1) for i in range(800)]
+    labels = [(i, int(i % 4 > 0)) for i in range(400)] + [(1, 1), (2, 0), (None, 1), (5, None), (9999, 1)]
+    known = spark.createDataFrame(labels, "doc_id long, quality int").selectExpr("*", "'clash' as text", "'clash' as id")
+    bands = quality.calibrated(edge_frame(spark, rows), known)
+    got = {x.doc_id: x.kept for x in quality.quality(edge_frame(spark, rows), bands).collect()}
+    assert got == {i: brute.kept(t, bands) for i, t, *_ in rows}
+    held = range(400, 800)
+    assert all(got[i] for i in held if i % 4) and sum(got[i] for i in held if i % 4 == 0) <= 5 and all(brute.kept(x[1], quality.BANDS) for x in rows)
+    assert quality.calibrated(edge_frame(spark, []), known) == quality.fitted([]) and quality.calibrated(edge_frame(spark, rows), known.limit(0)) == quality.fitted([])
 
 
 def test_compression_bands():
@@ -104,6 +122,22 @@ def test_packing(spark):
     assert packing.pack(edge_frame(spark, []), path).count() == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_those_of_the_library(name):
+    from array import array
+
+    from tokenizers import Tokenizer
+
+    path = P.path(name)
+    enc, lib = packing.encoder(path, 1, packing.unmade_tokens(path)), Tokenizer.from_file(path)
+    r = random.Random(5)
+    odd = "İı ſŉß.ÀÉéèµªº²½'sStTdDlLmMvVrReE\t|<>.,;:!?-_#0123456789あ中Σςσ̸́ \x85​ÅÅĲĳŊŽžÖÿŸ"
+    texts = ["", "İ.", "aİ,", "x İ; y", "<|endoftext|>.", "a<|startoftext|>b <|ENDOFTEXT|>", "it'll'd IT'S", "x" * 5000]
+    texts += ["".join(r.choice(odd) if r.random() < 0.6 else r.choice("abcdefghijklmnopqrstuvwxyz  'é") for _ in range(r.randrange(1, 14))) for _ in range(30_000)]
+    texts += [x for c in map(chr, range(0x250)) for x in (c, "a" + c, c + "b", "7" + c + ".", c + "'s")]
+    assert [t for t in texts if array("I", [*lib.encode(t, add_special_tokens=False).ids, 1]).tobytes() != enc.encode(t)] == []
+
+
 def test_simhash_components(spark):
     r, rows = random.Random(4), edge_rows()
     words = vocabulary()

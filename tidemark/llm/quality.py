@@ -9,6 +9,10 @@ carry more overhead and short texts repeat less.  Above the band a text is repet
 incompressible.  A document is rejected if its whole ratio leaves the band or if chunks of more than
 a quarter of its bytes leave theirs; the last chunk is judged by the band of its own length.
 
+``calibrated`` draws the bands from documents labelled as good: the mean ratio plus and minus ``SPREAD`` standard
+deviations in each half octave of length, from at most ``SAMPLE`` labelled documents (those of the least hash of the id).  Lengths with
+fewer than ``LEAST`` of them keep the general bands.  A document with two labels is good if both say so; null labels and ids count for nothing.
+
 A null text has no words.  Rows are handled one by one, so repeated rows and ids, or null ids, give
 a row each.  Whole texts are counted and compressed.  Extra columns are ignored by
 ``quality`` and carried by ``kept_documents``.
@@ -16,14 +20,17 @@ a row each.  Whole texts are counted and compressed.  Extra columns are ignored
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents
 
@@ -33,12 +40,15 @@ MIN_WORDS, LEVEL, CHUNK, BAD_SHARE = 50, 3, 4096, 0.25
 BANDS = ((256, 1.05, 3.2), (1024, 1.15, 3.6), (4096, 1.2, 4.2), (16384, 1.25, 5.0), (65536, 1.25, 6.0))
 
 
-def outside(raw: int, packed: int) -> bool:
+#: Labelled documents that the bands are drawn from at most; the least in a half octave; half the width of a band in standard deviations.
+SAMPLE, LEAST, SPREAD = 20_000, 30, 4.0
+Bands = tuple[tuple[int, float, float], ...]
+
+
+def outside(raw: int, packed: int, bands: Bands = BANDS) -> bool:
     """Whether the ratio leaves the band of its length."""
-    for least, low, high in reversed(BANDS):
-        if raw >= least:
-            return not low * packed <= raw <= high * packed
-    return False
+    at = bisect_right(bands, raw, key=lambda b: b[0]) - 1
+    return at >= 0 and not bands[at][1] * packed <= raw <= bands[at][2] * packed
 
 
 @lru_cache(maxsize=1)
@@ -48,14 +58,51 @@ def _compressor():
     return zstandard.ZstdCompressor(level=LEVEL)
 
 
-def compressed_badly(data: bytes) -> bool:
+def compressed_badly(data: bytes, bands: Bands = BANDS) -> bool:
     z = _compressor().compress
-    if outside(len(data), len(z(data))):
+    if outside(len(data), len(z(data)), bands):
         return True
     if len(data) <= CHUNK:
         return False
     chunks = [data[i : i + CHUNK] for i in range(0, len(data), CHUNK)]
-    return sum(len(c) for c in chunks if outside(len(c), len(z(c)))) > BAD_SHARE * len(data)
+    return sum(len(c) for c in chunks if outside(len(c), len(z(c)), bands)) > BAD_SHARE * len(data)
+
+
+def fitted(ratios: list[tuple[int, float]]) -> Bands:
+    """Bands from (bytes, ratio) of good texts, a half octave each."""
+    at = lambda k: math.ceil(BANDS[0][0] * 2 ** (k / 2))
+    starts = sorted({at(k) for k in range(20)} | {b[0] for b in BANDS})
+    seen = defaultdict(list)
+    for n, r in ratios:
+        if n >= starts[0]:
+            seen[bisect_right(starts, n) - 1].append(r)
+    out = []
+    for i, start in enumerate(starts):
+        _, low, high = BANDS[bisect_right(BANDS, start, key=lambda b: b[0]) - 1]
+        some = sorted(seen[i])
+        if len(some) >= LEAST:
+            mean = math.fsum(some) / len(some)
+            width = SPREAD * math.sqrt(math.fsum((r - mean) ** 2 for r in some) / len(some))
+            low, high = max(1.0, mean - width), mean + width
+        out.append((start, low, high))
+    return tuple(out)
+
+
+def calibrated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Bands:
+    """Bands by the labelled documents (doc_id, quality 0 or 1) that are good and pass the base rules."""
+    known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("q")).where("id is not null and q is not null")
+    good = known.groupBy("id").agg(F.min("q").alias("q")).where("q = 1").orderBy(F.xxhash64("id"), "id").limit(sample).select("id")
+    named = documents(docs)
+    some = named.join(F.broadcast(good), named["doc_id"] == good["id"]).select("doc_id", "text")  # at most ``sample`` ids
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = _compressor().compress
+        for b in batches:
+            rows = [(len(x), len(x) / len(z(x))) for x in (t.as_py().encode() for t in b.column("text") if not counts(t.as_py())[5]) if x]
+            yield pa.record_batch([pa.array([n for n, _ in rows], pa.int64()), pa.array([r for _, r in rows], pa.float64())], names=["n", "r"])
+
+    found = some.mapInArrow(run, "n long, r double").orderBy("n", "r").limit(4 * sample).collect()  # ids may repeat in docs
+    return fitted([(x["n"], x["r"]) for x in found])
 
 
 #: str.split() also cuts at other white space; these stand in for what is not to be cut at.
@@ -67,7 +114,7 @@ def split_words(text: str) -> list[str]:
     return _WORD.findall(text) if _SPACES.search(text) else text.split()
 
 
-def rules(text: str) -> tuple[int, int, int, int, int, bool, bool]:
+def counts(text: str) -> tuple[int, int, int, int, int, bool]:
     words = split_words(text)
     n, chars = len(words), sum(map(len, words))
     seen: set[str] = set()
@@ -88,29 +135,34 @@ def rules(text: str) -> tuple[int, int, int, int, int, bool, bool]:
                     repeat += i + 3 - max(i, end)
                     end = i + 3
     failed = n < MIN_WORDS or 100 * repeat > 50 * n
-    return n, chars, len(SYMBOLS.findall(text)), dup, repeat, failed, not failed and not compressed_badly(text.encode())
+    return n, chars, len(SYMBOLS.findall(text)), dup, repeat, failed
+
+
+def rules(text: str, bands: Bands = BANDS) -> tuple[int, int, int, int, int, bool, bool]:
+    base = counts(text)
+    return *base, not base[5] and not compressed_badly(text.encode(), bands)
 
 
 FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def quality(docs: DataFrame) -> DataFrame:
+def quality(docs: DataFrame, bands: Bands = BANDS) -> DataFrame:
     """Per document: doc_id, the five counts, base_failed, kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols = list(zip(*[rules(x.as_py()) for x in b.column("text")], strict=True)) or [[]] * 7
+            cols = list(zip(*[rules(x.as_py(), bands) for x in b.column("text")], strict=True)) or [[]] * 7
             yield pa.record_batch([b.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:5]], *[pa.array(c, pa.bool_()) for c in cols[5:]]], names=["doc_id", *FIELDS, "base_failed", "kept"])
 
     return documents(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{x} long" for x in FIELDS) + ", base_failed boolean, kept boolean")
 
 
-def kept_documents(docs: DataFrame) -> DataFrame:
+def kept_documents(docs: DataFrame, bands: Bands = BANDS) -> DataFrame:
     """The rows of ``docs`` that the rules keep, unchanged and with all their columns."""
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array([rules(x.as_py() or "")[6] for x in b.column(at)], pa.bool_()))
+            yield b.filter(pa.array([rules(x.as_py() or "", bands)[6] for x in b.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,8 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.calibrated(docs, table(spark, sf_dir, "labels")))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

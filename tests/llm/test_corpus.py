@@ -82,6 +82,39 @@ def test_repeats(spark, group):
     assert repeats.repeats(edge_frame(spark, []), group).count() == 0
 
 
+def test_repeats_across_the_border_of_pieces(spark):
+    """A text of several pieces; passages that lie on a border of pieces come again in another text and in the same."""
+    r, words = random.Random(17), vocabulary(n=5000)
+    long = " ".join(r.choice(words) for _ in range(250_000)).encode().decode()
+    data = long.encode()
+    assert len(data) > 2 * repeats.PIECE
+    border = repeats.PIECE
+    cut = lambda a, b: data[a:b].decode(errors="ignore")
+    texts = [long + cut(2 * border - 350, 2 * border + 10), "x " + cut(border - 150, border + 220), cut(border + 199, border + 450), cut(5000, 5199)]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    got = repeats.repeats(edge_frame(spark, rows)).collect()
+    assert as_counter(got) == Counter((x[0], *b) for x, b in zip(rows, brute_repeats([x[1] for x in rows]), strict=True))
+    assert {x.doc_id for x in got if x.n_removed} == {0, 1, 2}
+
+
+@pytest.mark.parametrize("small", [False, True], ids=["usual", "other way"])
+def test_both_ways_agree_on_the_tables(spark, small):
+    """Long repeats and fingerprints over the given documents: small and large groups have a way each, and both equal brute force."""
+    from oracle import DATA
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").cache()
+    rows = docs.select("doc_id", "text").collect()
+    got = simhash.simhash_components(docs, bucket=2 if small else simhash.BUCKET).collect()
+    fps = [simhash.fingerprint(simhash.shingle_hashes(x.text or "", 3)) for x in rows]
+    bits = np.array(fps, "<i8").view("<u8")
+    near = [(i, int(j)) for i in range(len(rows)) for j in np.flatnonzero(np.bitwise_count(bits[:i] ^ bits[i]) <= 2)]
+    roots = components(near, len(rows))
+    least = {k: min(x.doc_id for x, q in zip(rows, roots, strict=True) if q == k) for k in set(roots)}
+    assert as_counter(got) == Counter((x.doc_id, f"{f & (2**64 - 1):016x}", least[k]) for x, f, k in zip(rows, fps, roots, strict=True))
+    got = repeats.repeats(docs, 2 if small else repeats.GROUP).collect()
+    assert as_counter(got) == Counter((x.doc_id, *b) for x, b in zip(rows, brute_repeats([x.text for x in rows]), strict=True))
+
+
 def test_run_length_index():
     r = random.Random(7)
     for _ in range(20):
@@ -201,6 +234,26 @@ def test_near_duplicates_with_a_repeated_line(spark):
     assert {x.doc_id for x in gone} == {2 * k + 1 for k in range(10)}
 
 
+def test_recall_near_the_limit(spark):
+    """600 pairs of texts with a similarity between 0.8 and 0.86, none of them equal, short and long: recall against brute force."""
+    r, words = random.Random(41), vocabulary(n=6000)
+    rows, sets = [], []
+    while len(rows) < 1200:
+        n = r.choice([40, 60, 120, 250, 500])
+        base = [r.choice(words) for _ in range(n)]
+        copy = list(base)
+        for at in r.sample(range(n), max(1, int(n * r.uniform(0.018, 0.026)))):
+            copy[at] = f"other{len(rows)}"
+        if r.random() < 0.3:
+            copy += [f"tail{len(rows)}x{i}" for i in range(r.randrange(1, 1 + n // 40 + 1))]
+        a, b = (set(simhash.shingle_hashes(" ".join(x), 5).tolist()) for x in (base, copy))
+        if 0.8 <= len(a & b) / len(a | b) < 0.86:
+            rows += [(len(rows), " ".join(base), "en", "s", 1), (len(rows) + 1, " ".join(copy), "en", "s", 1)]
+            sets += [a, b]
+    gone = {x.doc_id for x in simhash.superseded(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert gone <= {2 * k + 1 for k in range(600)} and len(gone) >= 0.99 * 600
+
+
 def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "u long, v long")).collect()}

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, documents
+from tidemark.llm.common import cut, documents, spread_join
 from tidemark.llm.graph import components
 
 SEED, PIVOTS, BUCKET, STEP = 42, 16, 64, 100_000
@@ -116,8 +116,8 @@ def links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
     table = distinct.select("fp", *pivot_table(F.col("fp")))
     keys = F.array(*[F.struct(F.lit(i).cast("byte").alias("c"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("m")) for i, m in enumerate(masks())])
     keyed = table.select("fp", "t0", "t1", F.explode(keys).alias("k")).select("fp", "t0", "t1", "k.c", "k.m")
-    sizes = keyed.groupBy("c", "m").agg(F.count("*").alias("n")).where("n > 1")
-    shared = cut(keyed.join(sizes, ["c", "m"]))
+    sizes = keyed.groupBy("c", "m").agg(F.count("*").alias("n")).where("n > 1").withColumn("rows", F.col("n"))
+    shared = cut(spread_join(keyed, sizes, ["c", "m"], "rows", 10 * distinct.count()))
     small = shared.where(F.col("n") <= bucket).drop("n")
     pairs = small.alias("a").join(small.alias("b"), (F.col("a.c") == F.col("b.c")) & (F.col("a.m") == F.col("b.m")) & (F.col("a.fp") < F.col("b.fp")) & may_link("a", "b", 2))
     near = F.concat(F.array("fp"), *[F.array(F.col("fp").bitwiseXOR(F.lit(_signed(1 << i)))) for i in range(64)])
@@ -130,23 +130,25 @@ def links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
 def simhash_components(docs: DataFrame, size: int = 3, bucket: int = BUCKET) -> DataFrame:
     """A row per document: doc_id, fingerprint, component_id."""
     fps = cut(fingerprints(docs, size))
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     roots = components(links(distinct.select("fp"), bucket))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    per_fp = rooted.join(named, "root").select("fp", "component_id")
-    return fps.join(per_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", "rows", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("fps"))
+    per_fp = spread_join(rooted, named, ["root"], "fps", fps.count()).select("fp", "component_id", "rows")
+    return spread_join(fps, per_fp, ["fp"], "rows", fps.count()).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-BANDS, ROWS, REACH = 16, 3, 24
-#: Sets of fewer shingles skip the tables: their fingerprints are too noisy to discard by.
+#: Sets that are alike share at least 8/9 of their shingles on (geometric) average, so a bit of the fingerprints differs with a chance of acos(8/9)/pi = 0.151 or less
+#: and over REACH of the 64 bits do with one below 1e-7: that is the share of links the tables may lose.  16 bands of three lose 1e-5.
+BANDS, ROWS, REACH = 16, 3, 28
+#: Sets of fewer shingles skip the tables: the chance above is that of many shingles.
 FEW = 40
 #: Buckets of up to ``CROWD`` sets are joined with themselves; larger ones are searched in blocks of about ``BLOCK``, two at a time.
 CROWD, BLOCK = 16, 1024
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, digest, fp, n, bands) of each row's shingle set: a digest, the fingerprint, the size, and band keys of the least hashes.
+    """(doc_id, digest, fp, n, bands) of each row's shingle set: a digest of 128 bits, the fingerprint, the size, and band keys of the least hashes.
 
     Repeats count once here, as in the similarity: a phrase said often must not move the fingerprint.
     """
@@ -164,16 +166,16 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
         for b in batches:
             rows = []
             for t in b.column("text"):
                 s = np.unique(shingle_hashes(t.as_py(), size))
-                rows.append((xxhash.xxh64_intdigest(s.tobytes(), seed=7) - (1 << 63), fingerprint(s), len(s), bands(s) if len(s) else []))
+                rows.append((xxhash.xxh3_128_digest(s.tobytes()), fingerprint(s), len(s), bands(s) if len(s) else []))
             cols = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.record_batch([b.column("doc_id"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["doc_id", "digest", "fp", "n", "bands"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, digest long, fp long, n long, bands array<long>")
+    return documents(docs).mapInArrow(run, "doc_id long, digest binary, fp long, n long, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -219,10 +221,10 @@ def superseded(docs: DataFrame, size: int = 5, similarity: float = 0.8, crowd: i
     named = docs.where(F.col("doc_id").isNotNull())
     each = cut(sketches(named, size))
     # Copies meet here: from now on there is a row per distinct set, named by its smallest document.
-    reps = each.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    reps = each.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("rows"))
     keyed = reps.select(F.struct("doc", "fp", "n", *pivot_table(F.col("fp"))).alias("a"), F.posexplode("bands").alias("c", "m"))
-    sizes = keyed.groupBy("c", "m").agg(F.count("*").alias("members")).where("members > 1")
-    shared = cut(keyed.join(sizes, ["c", "m"]))
+    sizes = keyed.groupBy("c", "m").agg(F.count("*").alias("members")).where("members > 1").withColumn("rows", F.col("members"))
+    shared = cut(spread_join(keyed, sizes, ["c", "m"], "rows", BANDS * each.count()))
     small = shared.where(F.col("members") <= crowd).select("c", "m", "a")
     met = small.join(small.select("c", "m", F.col("a").alias("b")), ["c", "m"]).where("a.doc > b.doc")
     close = may_link("a", "b", REACH) | (F.least("a.n", "b.n") < FEW)
@@ -245,8 +247,8 @@ def superseded(docs: DataFrame, size: int = 5, similarity: float = 0.8, crowd: i
 
     alike = alike.unionByName(crowded.join(sets, "doc_id").groupBy("c", "m", "i", "j").applyInArrow(search, "u long, v long"))
     roots = components(alike)
-    firsts = reps.select("digest", "doc").join(roots, F.col("doc") == F.col("node"), "left").select("digest", F.coalesce("root", "doc").alias("root"))
-    return each.select("doc_id", "digest").join(firsts, "digest").groupBy("doc_id").agg(F.min("root").alias("root")).where("doc_id <> root").select("doc_id")
+    firsts = reps.select("digest", "doc", "rows").join(roots, F.col("doc") == F.col("node"), "left").select("digest", "rows", F.coalesce("root", "doc").alias("root"))
+    return spread_join(each.select("doc_id", "digest"), firsts, ["digest"], "rows", each.count()).groupBy("doc_id").agg(F.min("root").alias("root")).where("doc_id <> root").select("doc_id")
 
 
 def deduplicate(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -3,7 +3,7 @@
 A line's key is 128 bits of hash of its words (A-Z lower-cased, white space between them as one space);
 lines without words are left alone.  A sketch of the sites is built per key
 by partial aggregation, so a line in a third of all documents reaches its reducer as one sketch a
-task.  Lines whose estimate stands clear of the threshold are decided by it; those within
+task.  Lines whose estimate stands clear of the threshold are decided by it (joins to hot lines are split by ``spread_join``); those within
 ``MARGIN`` of it get an exact distinct count.  Lines on ``sites`` or more sites are boilerplate and
 go, but for their first occurrence (smallest doc_id, then line), so that nothing that is said only in copies
 of one document is lost from the corpus.
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, cut, stored
+from tidemark.llm.common import ascii_lower, cut, spread_join, stored
 
 SITES, LOG2_BUCKETS, MARGIN = 8, 10, 0.15
 
@@ -49,22 +49,22 @@ def _place() -> Column:
 
 
 def boilerplate(at: DataFrame, sites: int = SITES) -> tuple[DataFrame, DataFrame]:
-    """The occurrences of lines that come often enough, and (k1, k2, first) of those on ``sites`` or more sites."""
+    """The occurrences of lines that come often enough, and (k1, k2, first, rows) of those on ``sites`` or more sites."""
     # Few lines do: a count in front, by key alone, keeps sketches from being made for the others.
-    often = at.groupBy(*KEY).agg(F.count("site").alias("c")).where(F.col("c") >= sites).drop("c")
-    common = stored(at.join(often, KEY))
-    spread = common.groupBy(*KEY).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG2_BUCKETS))).alias("about"), F.min(_place()).alias("first"))
+    often = at.groupBy(*KEY).agg(F.count("site").alias("c"), F.count("*").alias("rows")).where(F.col("c") >= sites).drop("c")
+    common = stored(spread_join(at, often, KEY, "rows", at.count()))
+    spread = common.groupBy(*KEY).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG2_BUCKETS))).alias("about"), F.min(_place()).alias("first"), F.count("*").alias("rows"))
     spread = cut(spread.where(F.col("about") >= sites * (1 - MARGIN)))
-    near = spread.where(F.col("about") <= sites * (1 + MARGIN)).select(*KEY)
-    exact = common.join(near, KEY, "left_semi").select(*KEY, "site").distinct().groupBy(*KEY).agg(F.count("site").alias("c")).where(F.col("c") >= sites).select(*KEY)
-    sure = spread.where(F.col("about") > sites * (1 + MARGIN)).select(*KEY, "first")
-    return common, sure.unionByName(spread.join(exact, KEY).select(*KEY, "first"))
+    near = spread.where(F.col("about") <= sites * (1 + MARGIN)).select(*KEY, "rows")
+    exact = spread_join(common, near, KEY, "rows", common.count()).select(*KEY, "site").distinct().groupBy(*KEY).agg(F.count("site").alias("c")).where(F.col("c") >= sites).select(*KEY)
+    sure = spread.where(F.col("about") > sites * (1 + MARGIN)).select(*KEY, "first", "rows")
+    return common, sure.unionByName(spread.join(exact, KEY).select(*KEY, "first", "rows"))
 
 
 def removals(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
     """(doc, th, gone): the numbers of the lines to remove, for rows that have some."""
     common, bad = boilerplate(stored(lines(docs, site)), sites)
-    out = common.join(bad, KEY).where(_place() != F.col("first"))
+    out = spread_join(common, bad, KEY, "rows", common.count()).where(_place() != F.col("first"))
     return out.groupBy("doc", "th").agg(F.collect_set("n").alias("gone"))
 
 

@@ -103,6 +103,18 @@ def test_licenses(spark):
     assert licenses.document_licenses(edge_frame(spark)).count() == len(edge_rows())
 
 
+def test_license_of_a_very_long_line(spark):
+    """A megabyte in one line with one cue: every word is counted once."""
+    import random
+    import time
+
+    r = random.Random(4)
+    line = "Released under the MIT License " + " ".join(f"w{r.getrandbits(28):x}" for _ in range(110_000))
+    start = time.time()
+    got = licenses.scan(spark.createDataFrame([(1, "a/x.txt", line), (2, "a/y.txt", "license " * 5000)], "doc_id long, path string, text string")).collect()
+    assert {r.doc_id: r.own_license for r in got} == {1: "MIT", 2: None} and time.time() - start < 40
+
+
 def test_ordinary_license_headers(spark):
     heads = {
         "Copyright (c) 2019 Acme Inc. All rights reserved.": "proprietary",
@@ -122,8 +134,9 @@ BENCH = [(1, "The quick brown fox jumps over the lazy dog again and again"), (2,
 TEXTS = ["Say: THE quick, brown fox jumps over the lazy dog again and again! ok", "a short item here short item", None, "", "é short-item x", "nameless item of some words that goes on for ten words", "clean words", "the quick brown fox jumps over the lazy dog again"]
 
 
-@pytest.mark.parametrize("max_set", [50_000, 2], ids=["set", "join"])
-def test_contamination(spark, max_set):
+@pytest.mark.parametrize("max_set,max_hashes", [(50_000, 9), (2, 1000), (2, 3)], ids=["set", "broadcast", "join"])
+def test_contamination(spark, monkeypatch, max_set, max_hashes):
+    monkeypatch.setattr(decontam, "MAX_HASHES", max_hashes)
     rows = [*[(i, t, None, None, None) for i, t in enumerate(TEXTS)], (0, TEXTS[0], None, None, None), (None, TEXTS[1], None, None, None)]
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     g = grams(BENCH)

@@ -10,7 +10,7 @@ one of the SPDX tags of ``TAGS``) are scored each, so words around a licence do
 
 A file without a licence of its own takes that of its nearest ancestor directory that has a licence file.
 Directories are made distinct before they are joined to their ancestors, so a directory
-with a third of all files is joined once and reaches its files by one equi-join.  Of several licence
+with a third of all files is joined once and reaches its files by one equi-join, in which hot directories are split.  Of several licence
 files in a directory the best score counts, then the smallest path.
 
 Null texts and paths count as empty (the empty path lies in the root directory).  Rows are handled one by one: repeated
@@ -25,7 +25,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, stored
+from tidemark.llm.common import ascii_lower, spread_join, stored
 
 TEMPLATES = {
     "Apache-2.0": [
@@ -76,18 +76,33 @@ def vectors() -> tuple[dict[str, int], int, list[tuple[str, dict[str, int], int]
     return weights, weigh(0), out
 
 
+def _map(v: dict[str, int]) -> str:
+    return "map(" + ", ".join(f"'{t}', {x}L" for t, x in v.items()) + ")"
+
+
+def _vector(terms: str, body: str) -> str:
+    """``body`` with v: the known terms among ``terms`` with weighted counts, and q: the square of the whole norm.
+
+    Known terms are few and are counted each; all others weigh the same, so their squares are summed over the sorted terms in one pass.
+    ``w`` is the map of weights.
+    """
+    other = vectors()[1]
+    known = "transform(array_distinct(kn), t -> named_struct('t', t, 'x', cast(size(filter(kn, u -> u = t)) as bigint) * try_element_at(w, t)))"
+    rest = """aggregate(array_sort(un), named_struct('p', '', 'c', 0L, 'q', 0L),
+        (a, t) -> if(t = a.p, named_struct('p', a.p, 'c', a.c + 1, 'q', a.q), named_struct('p', t, 'c', 1L, 'q', a.q + a.c * a.c)), a -> a.q + a.c * a.c)"""
+    square = f"aggregate(v, cast({rest} as decimal(38,0)) * {other * other}, (a, y) -> cast(a + cast(y.x as decimal(18,0)) * y.x as decimal(38,0)))"
+    split = f"named_struct('kn', filter({terms}, t -> try_element_at(w, t) is not null), 'un', filter({terms}, t -> try_element_at(w, t) is null))"
+    return f"transform(array({split}), s -> transform(array({known.replace('kn', 's.kn')}), v -> transform(array(cast({square.replace('un)', 's.un)')} as double)), q -> {body})[0])[0])[0]"
+
+
 def _best(terms: str) -> str:
     """{score, name} of the best template for an array of terms; the name with its sign turned, so that the greatest is the smallest."""
-    weights, other, templates = vectors()
-    mapped = lambda v: "map(" + ", ".join(f"'{t}', {x}L" for t, x in v.items()) + ")"
-    # v: distinct terms with weighted counts; q: the square of the norm.
-    vec = f"transform(array_distinct({terms}), t -> named_struct('t', t, 'x', cast(size(filter({terms}, u -> u = t)) as bigint) * coalesce(try_element_at(w, t), {other}L)))"
-    square = "aggregate(v, 0L, (a, y) -> a + y.x * y.x)"
+    weights, _, templates = vectors()
     scores = ", ".join(
-        f"named_struct('score', cast(floor(cast(aggregate(v, 0L, (a, y) -> a + y.x * coalesce(try_element_at({mapped(v)}, y.t), 0L)) as double) / sqrt(cast(q as double) * {float(n2)!r}D) * 1000000D + 0.5D) as bigint), 'no', {-i})"
+        f"named_struct('score', cast(floor(cast(aggregate(v, 0L, (a, y) -> a + y.x * coalesce(try_element_at({_map(v)}, y.t), 0L)) as double) / sqrt(q * {float(n2)!r}D) * 1000000D + 0.5D) as bigint), 'no', {-i})"
         for i, (_, v, n2) in enumerate(templates)
     )
-    return f"if(size({terms}) = 0, named_struct('score', 0L, 'no', 0), transform(array({mapped(weights)}), w -> transform(array({vec}), v -> transform(array({square}), q -> array_max(array({scores})))[0])[0])[0])"
+    return f"if(size({terms}) = 0, named_struct('score', 0L, 'no', 0), transform(array({_map(weights)}), w -> {_vector(terms, f'array_max(array({scores}))')})[0])"
 
 
 def tagged() -> list[tuple[str, dict[str, int], int]]:
@@ -100,20 +115,30 @@ def tagged() -> list[tuple[str, dict[str, int], int]]:
     return out
 
 
+#: Most words that a cue stands in, and windows that a line may need are looked at once for each different text.
+CUE_WORDS = max(c.count(" ") for c in CUE.split("|")) + 1
+
+
 def _window(terms: str) -> str:
-    """{score, name} of the best window, as ``_best`` gives them."""
+    """{score, name} of the best window, as ``_best`` gives them.
+
+    Places of cues are found first, by at most ``CUE_WORDS`` words, so windows without one are never cut out.
+    """
     weights, other, _ = vectors()
     sizes = [len(re.findall(TERM, text.lower())) for _, texts in sorted(TEMPLATES.items()) for text in texts]
     sizes += [len(re.findall(TERM, f"SPDX-License-Identifier: {tag}".lower())) for _, tag in sorted(TAGS.items())]
-    mapped = lambda v: "map(" + ", ".join(f"'{t}', {x}L" for t, x in v.items()) + ")"
-    all_of = ", ".join(f"named_struct('no', {-i}, 'len', {size}, 'n2', {float(n2)!r}D, 'm', {mapped(v)})" for i, ((_, v, n2), size) in enumerate(zip(tagged(), sizes, strict=True)))
+    all_of = ", ".join(f"named_struct('no', {-i}, 'len', {size}, 'n2', {float(n2)!r}D, 'm', {_map(v)})" for i, ((_, v, n2), size) in enumerate(zip(tagged(), sizes, strict=True)))
     vec = f"transform(array_distinct(u), t -> named_struct('t', t, 'x', cast(size(filter(u, z -> z = t)) as bigint) * coalesce(try_element_at(w, t), {other}L)))"
     dot = "aggregate(v, 0L, (a, y) -> a + y.x * coalesce(try_element_at(p.m, y.t), 0L))"
     square = "aggregate(v, 0L, (a, y) -> a + y.x * y.x)"
     score = f"transform(array({vec}), v -> cast(floor(cast({dot} as double) / sqrt(cast({square} as double) * p.n2) * 1000000D + 0.5D) as bigint))[0]"
-    cut = f"filter(transform(sequence(1, size({terms}) - p.len + 1), i -> slice({terms}, i, p.len)), u -> array_join(u, ' ') rlike '{CUE}')"
+    # A cue of k words from i on lies in the windows that start from i + k - len to i.
+    found = ", ".join(f"if(i + {k - 1} <= size({terms}) and array_join(slice({terms}, i, {k}), ' ') rlike '{CUE}', {k}, null)" for k in range(1, CUE_WORDS + 1))
+    spots = f"filter(transform(sequence(1, size({terms})), i -> named_struct('i', i, 'k', coalesce({found}))), c -> c.k is not null)"
+    starts = f"array_distinct(flatten(transform(filter(cs, c -> c.k <= p.len), c -> sequence(greatest(1, c.i + c.k - p.len), least(c.i, size({terms}) - p.len + 1)))))"
+    cut = f"transform(array_distinct(transform({starts}, i -> array_join(slice({terms}, i, p.len), ' '))), u -> split(u, ' '))"
     each = f"transform(filter(array({all_of}), p -> p.len <= size({terms})), p -> named_struct('score', coalesce(array_max(transform({cut}, u -> {score})), 0L), 'no', p.no))"
-    return f"transform(array({mapped(weights)}), w -> coalesce(array_max({each}), named_struct('score', 0L, 'no', 0)))[0]"
+    return f"transform(array({_map(weights)}), w -> transform(array({spots}), cs -> coalesce(array_max({each}), named_struct('score', 0L, 'no', 0)))[0])[0]"
 
 
 def own_license() -> str:
@@ -144,9 +169,10 @@ def scan(files: DataFrame) -> DataFrame:
     # The best score, and of those the smallest path.
     best = rows.where("is_file").groupBy("dir").agg(F.min_by("own_license", F.struct(-F.col("score"), F.col("path"), F.col("own_license"))).alias("license"))
     chain = F.expr("transform(sequence(0, size(split(dir, '/'))), i -> named_struct('depth', i, 'up', array_join(slice(split(dir, '/'), 1, i), '/')))")
-    dirs = rows.select("dir").distinct().select("dir", F.explode(F.when(F.col("dir") == "", F.expr("array(named_struct('depth', 0, 'up', ''))")).otherwise(chain)).alias("a")).select("dir", "a.depth", "a.up")
-    near = dirs.join(best.select(F.col("dir").alias("up"), "license"), "up").groupBy("dir").agg(F.max_by(F.struct("license", "up"), "depth").alias("near"))
-    out = rows.join(near, "dir", "left")
+    sizes = rows.groupBy("dir").agg(F.count("*").alias("rows"))
+    dirs = sizes.select("dir", "rows", F.explode(F.when(F.col("dir") == "", F.expr("array(named_struct('depth', 0, 'up', ''))")).otherwise(chain)).alias("a")).select("dir", "rows", "a.depth", "a.up")
+    near = dirs.join(best.select(F.col("dir").alias("up"), "license"), "up").groupBy("dir").agg(F.max_by(F.struct("license", "up"), "depth").alias("near"), F.first("rows").alias("rows"))
+    out = spread_join(rows, near, ["dir"], "rows", rows.count(), "left")
     return out.select("doc_id", "path", "own_license", "score", "is_file", F.coalesce("own_license", "near.license").alias("license"), F.when(F.col("own_license").isNull(), F.col("near.up")).alias("license_dir"))
 
 

@@ -3,8 +3,8 @@
 The windows of the benchmark (``n`` consecutive words of an item; all its words where it has
 fewer) are counted first.  Up to ``max_set`` of them travel inside the plan as a hash set, and
 each document is scanned in one pass without any shuffle of text: window hashes probe the set,
-and hits are verified word for word.  A larger benchmark is joined by window hash instead, with
-the strategy that Spark picks from measured sizes, and verified in the same way.
+and hits are verified word for word.  Of a larger benchmark the hashes of the windows (up to ``MAX_HASHES``) are broadcast as a table that the
+windows probe, beyond that they are joined with the strategy that Spark picks; hits alone are shuffled, and are verified in the same way.
 
 Nulls: a null text has no words; a null ``item_id`` contaminates but is not among the items.
 Empty texts and items have no windows.  Rows are handled one by one, so repeated rows and repeated
@@ -18,12 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower
+from tidemark.llm.common import ascii_lower, stored
 
 #: Runs of what is not part of a word, in lower-cased and in unchanged text.
 GAP, GAP_ANY_CASE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Most windows that go into the plan as a set: about 10 MB of text.
 MAX_SET = 50_000
+#: Most hashes that are broadcast as a table, about 100 MB; beyond that Spark joins by its own choice.
+MAX_HASHES = 2_000_000
 SEEN, WORDS, TEXT = "__tm_seen", "__tm_words", "__tm_text"
 HIT_TYPE = "array<struct<p:int,l:int,g:string>>"
 
@@ -61,12 +63,16 @@ def with_hits(docs: DataFrame, grams: DataFrame, max_set: int = MAX_SET) -> Data
         for r in few:
             sets.setdefault(r["l"], []).append((r["g"], r["h"]))
         return docs.withColumn(WORDS, F.array(words(F.col("text")))).withColumn(SEEN, F.expr(seen.format(ws=WORDS, hits=_in_plan(sets)))).drop(WORDS)
+    # The hash set alone is broadcast, where its size allows, and probed by the windows in place; only hits are shuffled.
+    hashes = stored(distinct.select("l", "h").distinct())
+    if hashes.count() <= MAX_HASHES:
+        hashes = F.broadcast(hashes)
     lengths = [r["l"] for r in distinct.select("l").distinct().collect()]  # at most n values
-    key = [F.xxhash64(F.col("text"), F.lit(7)).alias("__tm_k1"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("__tm_k2")]
+    key = [F.xxhash64(F.col("text"), F.lit(7)).alias("__tm_k1"), F.xxhash64(F.lit("~"), F.col("text")).alias("__tm_k2")]
     every = "transform(__tm_words, w -> concat(" + ", ".join(f"if(size(w) >= {l}, transform(sequence(1, size(w) - {l - 1}), i -> named_struct('p', i, 'l', {l}, 'h', xxhash64(slice(w, i, {l})))), array())" for l in lengths) + "))[0]"
-    at = docs.select(*key, "text").dropDuplicates(["__tm_k1", "__tm_k2"]).withColumn(WORDS, F.array(words(F.col("text"))))
-    at = at.select("__tm_k1", "__tm_k2", F.explode(F.expr(every)).alias("x")).select("__tm_k1", "__tm_k2", "x.*")
-    found = at.join(distinct, ["l", "h"]).groupBy("__tm_k1", "__tm_k2").agg(F.array_sort(F.collect_set(F.struct(F.col("p"), F.col("l"), F.col("g")))).alias("__tm_c"))
+    at = docs.select(*key, F.array(words(F.col("text"))).alias(WORDS)).select("__tm_k1", "__tm_k2", F.explode(F.expr(every)).alias("x")).select("__tm_k1", "__tm_k2", "x.*")
+    # Equal texts have equal hits, which the set makes one.
+    found = at.join(hashes, ["l", "h"]).distinct().join(distinct, ["l", "h"]).groupBy("__tm_k1", "__tm_k2").agg(F.array_sort(F.collect_set(F.struct(F.col("p"), F.col("l"), F.col("g")))).alias("__tm_c"))
     joined = docs.select("*", *key).join(found, ["__tm_k1", "__tm_k2"], "left").drop("__tm_k1", "__tm_k2").withColumn(WORDS, F.array(words(F.col("text"))))
     checked = f"cast(coalesce(filter(__tm_c, x -> array_join(slice(w, x.p, x.l), ' ') = x.g), array()) as {HIT_TYPE})"
     return joined.withColumn(SEEN, F.expr(seen.format(ws=WORDS, hits=checked))).drop(WORDS, "__tm_c")

@@ -101,3 +101,124 @@ def query_terms(q: Column) -> Column:
 
 def mentions(text: Column, q: Column) -> Column:
     return F.exists(query_terms(q), lambda w: F.lower(text).contains(w))
+
+
+def _tokens_in_place(title: Column) -> Column:
+    """Each dose of a title in its one form, with blanks around."""
+    gaps, found = F.split(title, D.SPAN, -1), F.regexp_extract_all(title, F.lit(D.SPAN), F.lit(1))
+    shown = F.transform(found, lambda m: F.coalesce(F.concat(F.lit(" "), D.dose_token(m), F.lit(" ")), F.lit(" ")))
+    return F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(shown, i), F.lit("")))), "")
+
+
+def without_pack(title: Column, pack: Column) -> Column:
+    """A title without its pack, given as ``value-unit``: "strip of 10", "10 tablets" and "10 s"."""
+    parts = F.split(pack, "-")
+    value, unit = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2))
+    quoted = lambda c: F.concat(F.lit(r"\Q"), c, F.lit(r"\E"))
+    kinds = F.when(unit == "tablets", r"tablets?|tabs?").when(unit == "capsules", r"capsules?|caps?").otherwise(quoted(unit))
+    out = title
+    for pattern in (F.concat(F.lit(rf"(?i){_B}strip\s+of\s+"), quoted(value), F.lit(_E)), F.concat(F.lit(f"(?i){_B}"), quoted(value), F.lit(r"\s*(?:"), kinds, F.lit(f"){_E}")), F.concat(F.lit(f"(?i){_B}"), quoted(value), F.lit(rf"\s*s{_E}"))):
+        out = F.regexp_replace(out, pattern, F.lit(" "))
+    return F.when((F.coalesce(value, F.lit("")) != "") & (F.coalesce(unit, F.lit("")) != ""), out).otherwise(title)
+
+
+def normal_name(name: Column, dosage: Column, pack: Column) -> Column:
+    """A record's name: plain, doses in one form (that of the record where it has one), without pack and noise words; empty for none."""
+    title, token = T.plain(name), D.dose_token(dosage)
+    put = F.concat(F.lit(" "), token, F.lit(" "))
+    number = F.regexp_extract(token, D.N, 0)
+    own = F.regexp_replace(title, F.lit(D.SPAN), put)
+    own = F.when(number != "", F.regexp_replace(own, F.concat(F.lit(rf"{_B}\Q"), number, F.lit(rf"\E{_E}")), put)).otherwise(own)
+    out = without_pack(F.when(token.isNotNull(), own).otherwise(_tokens_in_place(title)), pack)
+    return F.coalesce(F.trim(F.regexp_replace(F.regexp_replace(T.without_words(out, T.NAME_NOISE), f"{_B}new{_E}", " "), r"\s+", " ")), F.lit(""))
+
+
+def hint_is_salt(raw_name: Column, hint: Column) -> Column:
+    """Whether the query that found a record names its composition: the plain name holds it."""
+    return F.coalesce((hint != "") & (raw_name != "") & T.plain(raw_name).contains(hint), F.lit(False))
+
+
+_STRAY = (r"(?i)https?://", r"(?i)www[.][A-Za-z0-9_]+", "(?i)<[a-z][^>]*>", rf"(?i){_B}(?:buy|cart|click|delivery|know\s+more|order|read\s+more|shipping|shop){_E}", rf"(?i){_B}(?:copyright|fulfillment|licensed|pharmacy|retail){_E}", r"(?:\|.*){2}", r"[{}\[\]]")
+
+
+def stray_normal_form(c: Column) -> Column:
+    """Whether a normalised name or composition holds page text: urls, tags, sales words, bars or brackets."""
+    bad = F.lit(False)
+    for pattern in _STRAY:
+        bad = bad | c.rlike(pattern)
+    return F.coalesce(bad, F.lit(False))
+
+
+def error_page(md: Column) -> Column:
+    low = F.lower(md)
+    return F.coalesce(md.contains("returned error 404") | low.contains("can't seem to find") | low.contains("page not found") | (low.contains("oops") & low.contains("broken")), F.lit(False))
+
+
+def title_name(title: Column) -> Column:
+    """A page title up to the first bar, without the 's of a pack count."""
+    return F.trim(F.regexp_replace(F.trim(F.element_at(F.split(title, r"\|"), 1)), r"'\s*s$", ""))
+
+
+def prescription_url(url: Column, base: Column) -> Column:
+    """The prescription page of a product url, whose item code and number are dropped."""
+    slug = F.regexp_extract(url, "/product/([^/]+?)(?:-[a-z0-9]{6,}-[0-9]+)?$", 1)
+    return F.when(slug != "", F.concat(base, F.lit("/prescriptions/"), slug)).otherwise(F.replace(url, F.lit("/product/"), F.lit("/prescriptions/")))
+
+
+_PAGE_WORDS = rf"(?i){_B}(?:about\s+us|blog|careers|company|delivery|feedback|fulfillment|information|licensed|nearest|order|our\s+services|partner|pharmacy|retail|strip\s+of|view){_E}"
+
+
+def salvaged_salt(c: Column) -> Column:
+    """What can be kept of a spoilt composition: a structured one at its start, one in capitals with doses, else a first sentence without page words."""
+    part, caps = r"[A-Za-z][A-Za-z\s-]+\s*\(\s*[0-9]+[^)]*\)", r"[A-Z][A-Z\s]+-[0-9]+[A-Za-z0-9_]+"
+    one, two = F.regexp_extract(c, rf"^({part}(?:\s*\+\s*{part})*)", 1), F.regexp_extract(c, rf"^({caps}(?:\+{caps})*)", 1)
+    first = F.element_at(F.split(c, r"\.\s+[A-Z]"), 1)
+    return F.when(F.char_length(one) >= 10, F.trim(one)).when(F.char_length(two) >= 8, F.trim(two)).when((first != "") & (F.char_length(first) <= 120) & ~first.rlike(_PAGE_WORDS), F.trim(first))
+
+
+def card_prices(text: Column) -> Column:
+    """{sale, mrp} of a listing card, by the first of: an MRP label (less a discount), an offer label, rupee amounts, plain decimals; nulls for none."""
+    number = lambda p: F.coalesce(F.replace(F.regexp_extract(text, p, 1), F.lit(",")).try_cast("double"), F.lit(0.0))
+    every = lambda p: F.filter(F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(1)), lambda x: F.replace(x, F.lit(",")).try_cast("double")), lambda x: x.isNotNull())
+    amount = r"\s*[^0-9\n]*\s*([0-9,]+\.?[0-9]*)"
+    label, off, offer = number(f"(?i)MRP{amount}"), number(r"(?i)Save(?:\s+upto)?\s*[^0-9\n]*\s*([0-9]+)\s*%"), number(f"(?i)(?:Price|Offer|Best){amount}")
+    rupees, decimals = every(r"₹\s*([0-9,]+\.?[0-9]*)"), F.filter(every(r"(?<![0-9])([0-9]+\.[0-9]{2})(?![0-9])"), lambda x: x < 500)
+    by_label = F.struct(F.when(off > 0, F.round(label * (1 - off / 100), 2)).otherwise(label).alias("sale"), label.alias("mrp"))
+    span = lambda a: F.struct(F.array_min(a).alias("sale"), F.array_max(a).alias("mrp"))
+    got = F.when((label > 0) & (by_label["sale"] > 0), by_label).when(label > 0, F.struct(offer.alias("sale"), label.alias("mrp"))).when(offer > 0, F.struct(offer.alias("sale"), offer.alias("mrp"))).when(F.size(rupees) > 0, span(rupees)).when(F.size(decimals) > 0, span(decimals))
+    return F.when(got["sale"] > 0, F.struct(got["sale"].alias("sale"), F.greatest(got["sale"], got["mrp"]).alias("mrp")))
+
+
+_FORM_WORDS = "capsule|cream|drop|gel|inhaler|injection|ointment|spray|suspension|syrup|tablet"
+
+
+def candidate_slugs(query: Column) -> Column:
+    """Url slugs to try for a query, in order: as it is, with usual endings, and as brand, dose and form."""
+    dashed = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"[^a-z0-9\s-]", ""), r"\s+", "-"), "-+", "-")
+    low = F.lower(query)
+    slug = F.trim(dashed(low))
+    dose = rf"({D.N})\s*(mg|ml|mcg|gm?|kg|%)"
+    number, unit, bare = F.regexp_extract(low, dose, 1), F.regexp_extract(low, dose, 2), F.regexp_extract(low, "([0-9]{2,5})", 1)
+    form = F.coalesce(F.nullif(F.regexp_extract(low, f"{_B}({_FORM_WORDS})s?{_E}", 1), F.lit("")), F.lit("tablet"))
+    brand = lambda gone: F.regexp_replace(dashed(F.regexp_replace(F.regexp_replace(low, gone, ""), f"{_B}(?:{_FORM_WORDS})s?{_E}", "")), "^-|-$", "")
+    dosed, plain = brand(rf"{D.N}\s*(?:mg|ml|mcg|gm?|kg|%)"), brand(f"{_B}[0-9]{{2,5}}{_E}")
+    join = lambda *p: F.concat_ws("-", *p)
+    made = lambda b, d: F.array(join(b, d, form), F.concat(join(b, d, form), F.lit("s")), join(b, d))
+    grams = bare.try_cast("int")
+    gram = F.when((grams >= 1000) & (grams % 1000 == 0), F.array(join(plain, F.concat((grams / 1000).cast("int").cast("string"), F.lit("gm")), form))).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    more = F.when((number != "") & (dosed != ""), made(dosed, F.concat(number, unit))).when((number == "") & (bare != "") & (plain != ""), F.concat(made(plain, F.concat(bare, F.lit("mg"))), gram)).otherwise(none)
+    return F.array_distinct(F.concat(F.array(slug, *[F.concat(slug, F.lit(x)) for x in ("-tablets", "-tablet", "-capsules")]), more))
+
+
+def repaired_url(url: Column, base: Column) -> Column:
+    """An absolute http(s) url out of page source: escaped slashes and ampersands repaired, resolved against ``base``, no fragment; else null.
+
+    Dots in relative paths are kept as they stand.
+    """
+    u = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.trim(url), r"(?i)\\u002F", "/"), r"\\/", "/"), "(?i)&amp;", "&")
+    origin, folder = F.regexp_extract(base, "^(https?://[^/?#]+)", 1), F.regexp_extract(base, "^(https?://[^/?#]+(?:/[^?#]*/|/)?)", 1)
+    beside = F.concat(F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/"))), u)
+    full = F.when(u.rlike("(?i)^https?://"), u).when(u.startswith("//"), F.concat(F.regexp_extract(base, "^(https?:)", 1), u)).when((u == "") | u.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), None).when(u.startswith("/"), F.concat(origin, u)).otherwise(beside)
+    bare = F.regexp_replace(full, "#.*$", "")
+    return F.when(bare.rlike("(?i)^https?://[^/?]+$"), F.concat(bare, F.lit("/"))).otherwise(bare)

@@ -38,3 +38,12 @@ def enrich(rows: DataFrame, found: DataFrame, key: str, fields: list[str], force
         new, old = F.col(f"_{c}"), F.col(c)
         out = out.withColumn(c, F.when(present(new), new).otherwise(old) if force else filled_in(old, new))
     return out.drop(*[f"_{c}" for c in fields])
+
+
+BAD_KEYS = ("undefined undefinedundefined", "a", "")
+
+
+def without_bad_keys(rows: DataFrame, key: str, done: str) -> DataFrame:
+    """``rows`` with the known bad values of ``key`` as null; there ``done`` is null too, so that the record is enriched again."""
+    bad = F.coalesce(F.col(key).isin(*BAD_KEYS), F.lit(False))
+    return rows.withColumn(done, F.when(~bad, F.col(done))).withColumn(key, F.when(~bad, F.col(key)))

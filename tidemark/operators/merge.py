@@ -60,3 +60,15 @@ def validated(query: Column, name: Column, platform: Column, is_new: Column, tru
     bypass = (F.size(q) > 0) & (F.size(n) > 0) & (F.size(F.array_intersect(q, n)) >= 0.75 * F.size(F.array_distinct(q)))
     cand, t = S.sync_salt(candidate), S.sync_salt(truth)
     return bypass | (is_new & (platform == "1mg")) | (F.coalesce(truth, F.lit("")) == "") | (cand == "") | S.overlap(cand, t, empty=False)
+
+
+def cheapest_of_salt(queries: DataFrame, listings: DataFrame, tie: str) -> DataFrame:
+    """Per (query, platform) the cheapest of the ``listings`` (query, platform, sale, found) whose composition is that of the query.
+
+    Compositions are equal without doses and order; a query or listing without one matches nothing. Ties go to the smallest ``tie``.
+    """
+    wanted = queries.select("query", S.sync_salt(F.col("salt")).alias("__salt")).where("__salt <> ''")
+    same = listings.withColumn("__salt", S.sync_salt(F.col("found"))).join(wanted, ["query", "__salt"])
+    kept = [c for c in listings.columns if c not in ("query", "platform")]
+    best = same.groupBy("query", "platform").agg(F.min_by(F.struct(*kept), F.struct(F.col("sale").isNull(), "sale", tie)).alias("__best"))
+    return best.select("query", "platform", *[F.col(f"__best.{c}").alias(c) for c in kept])

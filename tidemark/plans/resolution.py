@@ -84,37 +84,16 @@ def e11g(spark, d):
 
 
 @op("e12_interlink_same_key", duck("""
-g AS (SELECT name AS key, list_sort(list(DISTINCT title)) AS ts, list_sort(list(medicine_id)) AS ids FROM med WHERE size <= 3 GROUP BY 1 HAVING count(DISTINCT strength) = 1 AND count(*) > 1),
+g AS (SELECT name || '|' || manufacturer AS key, list_sort(list(DISTINCT title)) AS ts, list_sort(list(medicine_id)) AS ids FROM med GROUP BY 1 HAVING count(DISTINCT strength) = 1 AND count(*) > 1),
 p AS (SELECT key, a, b FROM (SELECT key, unnest(ts) AS a, ts FROM g), unnest(ts) AS u(b) WHERE a < b),
 s AS (SELECT key, min(CAST(len(list_intersect(string_split(a, ' '), string_split(b, ' '))) AS DOUBLE) / len(list_distinct(list_concat(string_split(a, ' '), string_split(b, ' '))))) AS least FROM p GROUP BY 1)
 SELECT key, CAST(len(ids) AS BIGINT) AS n FROM g LEFT JOIN s USING (key) WHERE coalesce(least, 1) >= 0.6""", "med"))
 def e12(spark, d):
+    """Pass 1 over the whole catalogue: records of one key and one dose."""
     from tidemark.operators.interlink import alike_groups
 
-    m = V.med(spark, d).where("size <= 3").select(F.col("name").alias("key"), F.col("title").alias("name"), F.col("strength").alias("dose"))
+    m = V.med(spark, d).select(F.concat_ws("|", "name", "manufacturer").alias("key"), F.col("title").alias("name"), F.col("strength").alias("dose"))
     return alike_groups(m, one_dose=True)
 
 
-@op("e12_interlink_same_key_whole", duck("""
-g AS (SELECT name AS key, list_sort(list(DISTINCT title)) AS ts, list_sort(list(medicine_id)) AS ids FROM med GROUP BY 1 HAVING count(DISTINCT strength) = 1 AND count(*) > 1),
-p AS (SELECT key, a, b FROM (SELECT key, unnest(ts) AS a, ts FROM g), unnest(ts) AS u(b) WHERE a < b),
-s AS (SELECT key, min(CAST(len(list_intersect(string_split(a, ' '), string_split(b, ' '))) AS DOUBLE) / len(list_distinct(list_concat(string_split(a, ' '), string_split(b, ' '))))) AS least FROM p GROUP BY 1)
-SELECT key, CAST(len(ids) AS BIGINT) AS n FROM g LEFT JOIN s USING (key) WHERE coalesce(least, 1) >= 0.6""", "med"))
-def e12_whole(spark, d):
-    """``e12`` over all sizes."""
-    from tidemark.operators.interlink import alike_groups
-
-    m = V.med(spark, d).select(F.col("name").alias("key"), F.col("title").alias("name"), F.col("strength").alias("dose"))
-    return alike_groups(m, one_dose=True)
-
-
-@op("e13_interlink_fuzzy_key", duck("SELECT name || '|' || strength AS fuzzy_key, count(DISTINCT form) AS n_keys FROM med GROUP BY 1 HAVING count(DISTINCT form) > 1", "med"))
-def e13(spark, d):
-    from tidemark.operators.interlink import matching_name
-
-    key = F.concat_ws("|", matching_name(F.col("title")), D.fuzzy_dose(F.col("title")))
-    m = V.med(spark, d).select(key.alias("k"), F.concat_ws("|", "name", "strength").alias("fuzzy_key"), "form")
-    return m.groupBy("fuzzy_key").agg(F.countDistinct("form").alias("n_keys"), F.countDistinct("k").alias("ks")).where("n_keys > 1 AND ks >= 1").select("fuzzy_key", "n_keys")
-
-
 golden("e17_matching_name", ["n"], [("Cipla Dolo 650 mg Tablet strip of 10", "dolo"), ("Calpol SR 500mg, new pack", "calpol sr"), (None, ""), ("Dr.Reddy Nise-D 10's", "dr. nise-d")], lambda n: __import__("tidemark.operators.interlink", fromlist=["x"]).matching_name(n))

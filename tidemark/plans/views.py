@@ -33,8 +33,10 @@ def listing(spark: SparkSession, d: str) -> DataFrame:
 
 def latest(rows: DataFrame) -> DataFrame:
     """The newest row per (medicine, platform): late observations never replace newer ones."""
-    w = Window.partitionBy("medicine_id", "platform").orderBy(F.desc("scraped_at"), *[F.desc(f"tie.{c}") for c in ("l_orderkey", "l_linenumber", "l_suppkey")])
-    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    rest = [c for c in rows.columns if c not in ("medicine_id", "platform")]
+    newest = F.max_by(F.struct(*rest), F.struct("scraped_at", *[f"tie.{c}" for c in ("l_orderkey", "l_linenumber", "l_suppkey")]))
+    best = rows.groupBy("medicine_id", "platform").agg(newest.alias("_r"))  # one row a key and task is shuffled
+    return best.select(*[F.col(c) if c not in rest else F.col(f"_r.{c}").alias(c) for c in rows.columns])
 
 
 def price(spark: SparkSession, d: str) -> DataFrame:

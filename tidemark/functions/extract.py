@@ -121,3 +121,21 @@ def headed(html: Column) -> Column:
     bare = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "))
     parts = F.filter(F.split(html, r"(?i)<h[1-6]\b[^>]*>"), lambda p, i: i > 0)
     return F.transform(parts, lambda p: F.struct(bare(F.element_at(F.split(p, "(?i)</h[1-6]>"), 1)).alias("heading"), bare(F.coalesce(F.try_element_at(F.split(p, "(?i)</h[1-6]>"), F.lit(2)), F.lit(""))).alias("body")))
+
+
+def faq_page(html: Column) -> Column:
+    """{question, answer} pairs of the FAQPage blocks in JSON-LD, in order, those with both."""
+    get = lambda v, *paths: F.coalesce(*[F.nullif(F.trim(F.regexp_replace(F.try_variant_get(v, p, "string"), r"\s+", " ")), F.lit("")) for p in paths])
+    many = lambda v, path: F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
+    blocks = F.filter(F.transform(F.regexp_extract_all(html, F.lit(LD), F.lit(1)), lambda b: F.try_parse_json(F.trim(b))), lambda v: v.isNotNull())
+    nodes = F.flatten(F.transform(blocks, lambda v: F.concat(F.array(v), many(v, "$"), many(v, "$['@graph']"))))
+    pages = F.filter(nodes, lambda v: F.coalesce(F.try_variant_get(v, "$['@type']", "string") == "FAQPage", F.lit(False)) | F.coalesce(F.array_contains(F.try_variant_get(v, "$['@type']", "array<string>"), "FAQPage"), F.lit(False)))
+    pairs = F.transform(F.flatten(F.transform(pages, lambda v: many(v, "$.mainEntity"))), lambda e: F.struct(get(e, "$.name", "$.question").alias("question"), get(e, "$.acceptedAnswer.text", "$.acceptedAnswer.name", "$.text").alias("answer")))
+    return F.filter(pairs, lambda x: x["question"].isNotNull() & x["answer"].isNotNull())
+
+
+def faq_lines(lines: Column) -> Column:
+    """{question, answer} pairs of lines that take turns, those with both."""
+    clean = lambda c: F.nullif(F.trim(F.regexp_replace(c, r"\s+", " ")), F.lit(""))
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(lines) - 1), F.lit(2)), lambda i: F.struct(clean(F.get(lines, i)).alias("question"), clean(F.get(lines, i + 1)).alias("answer")))
+    return F.filter(pairs, lambda x: x["question"].isNotNull() & x["answer"].isNotNull())

@@ -186,3 +186,13 @@ def price(text: Column) -> Column:
 def near_currency(text: Column) -> Column:
     get = lambda p: F.nullif(F.regexp_extract(F.replace(text, F.lit(",")), p, 1), F.lit(""))
     return F.coalesce(*[get(p) for p in (rf"(?i)(?:₹|inr|rs\.?)\s*({_N})", rf"(?i)({_N})\s*(?:₹|inr|rs)", rf"(?i)mrp\s*:?\s*({_N})", rf"(?i)price\s*:?\s*({_N})")]).try_cast("double")
+
+
+LEGAL_WORDS = ("limited", "ltd", "pharma", "pharmaceuticals", "private", "pvt")
+
+
+def without_maker(name: Column, maker: Column) -> Column:
+    """A name in lower case without the whole words of its maker; short and legal words of the maker do not count."""
+    words = F.filter(F.split(F.lower(F.coalesce(maker, F.lit(""))), r"\s+"), lambda w: (F.char_length(w) > 2) & ~w.isin(*LEGAL_WORDS))
+    n = F.aggregate(words, F.lower(F.coalesce(name, F.lit(""))), lambda a, w: F.regexp_replace(a, F.concat(F.lit(_B + r"\Q"), w, F.lit(r"\E" + _E)), F.lit("")))
+    return F.trim(F.regexp_replace(n, r"\s+", " "))

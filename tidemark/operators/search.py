@@ -18,7 +18,8 @@ def cascade(queries: DataFrame, medicines: DataFrame, limits: tuple[int, int, in
     prefixes = m.select("salt").distinct().select("salt", F.explode(F.expr("transform(sequence(1, char_length(salt)), i -> left(salt, i))")).alias("p"))
     three = q.join(prefixes, F.col("q") == F.col("p")).join(m, "salt").select("query", F.lit(3).alias("branch"), "medicine_id", "title")
     every = one.unionByName(two).unionByName(three)
-    best = every.withColumn("first", F.min("branch").over(Window.partitionBy("query"))).where("branch = first")
-    rank = F.row_number().over(Window.partitionBy("query").orderBy("title", "medicine_id"))
+    # The most that a branch may give is taken of each branch first, so that the choice among branches sees few rows of a query.
+    rank = F.row_number().over(Window.partitionBy("query", "branch").orderBy("title", "medicine_id"))
     limit = F.element_at(F.array(*[F.lit(x) for x in limits]), F.col("branch"))
-    return best.withColumn("rn", rank).where(F.col("rn") <= limit).select("query", "branch", "medicine_id")
+    top = every.withColumn("rn", rank).where(F.col("rn") <= max(limits)).where(F.col("rn") <= limit)
+    return top.withColumn("first", F.min("branch").over(Window.partitionBy("query"))).where("branch = first").select("query", "branch", "medicine_id")

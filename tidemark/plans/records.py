@@ -33,7 +33,10 @@ golden("t38_stray_normal_form", ["s"], [("paracetamol caffeine", False), ("see h
 golden("x16_repaired_url", ["u", "b"], [("https:\\/\\/a.b\\/x?y=1&amp;z=2#top", "https://c.d/p/q", "https://a.b/x?y=1&z=2"), ("\\u002Fimg\\u002F1.png", "https://c.d/p/q", "https://c.d/img/1.png"), ("//e.f/g", "https://c.d", "https://e.f/g"), ("r.html", "https://c.d/p/q", "https://c.d/p/r.html"), ("mailto:a@b", "https://c.d", None), ("https://a.b", "https://c.d", "https://a.b/"), (None, "https://c.d", None)], C.repaired_url)
 golden("p19_dose_overlap", ["a", "b"], [("Paracetamol 500mg", "Paracetamol 650mg", False), ("Paracetamol", "Paracetamol 650mg", True), ("A 5mg + B 10mg", "B 10.0", True)], C.dose_overlap)
 golden("w17_best_image", ["s"], [("a/logo.png;a/product/large.jpg;a/x.svg", "a/product/large.jpg"), ("b.png;c.png", "b.png")], lambda s: C.best_image(F.split(s, ";")))
-golden("x9_faq_lines", ["s"], [("What?\nThis.\nWhy?\nThat.", ["What?=This.", "Why?=That."])], lambda s: F.transform(F.filter(F.arrays_zip(F.split(s, "\n").alias("q"), F.slice(F.split(s, "\n"), 2, 100).alias("a")), lambda x, i: i % 2 == 0), lambda x: F.concat(x["q"], F.lit("="), x["a"])))
+_SHOWN = lambda pairs: F.transform(pairs, lambda x: F.concat(x["question"], F.lit("="), x["answer"]))
+golden("x9_faq_lines", ["s"], [("What?\nThis.\nWhy?\nThat.", ["What?=This.", "Why?=That."]), ("What?\n \nWhy?\nThat.\nOdd?", ["Why?=That."]), ("\n".join(f"q{i}\na{i}" for i in range(80)), [f"q{i}=a{i}" for i in range(80)]), ("", [])], lambda s: _SHOWN(X.faq_lines(F.split(s, "\n"))))
+_FAQ = '<script type="application/ld+json">{"@graph":[{"@type":"Product","name":"L"},{"@type":["WebPage","FAQPage"],"mainEntity":[{"name":"What  is it?","acceptedAnswer":{"text":"A drug."}},{"question":"Safe?","text":"Yes"},{"name":"No answer"}]}]}</script>'
+golden("x9_faq_page", ["h"], [(_FAQ, ["What is it?=A drug.", "Safe?=Yes"]), ('<script type="application/ld+json">{"@type":"FAQPage","mainEntity":[{"name":"Q","acceptedAnswer":{"name":"A"}}]}</script>', ["Q=A"]), ('<script type="application/ld+json">{broken</script>', []), ("<p>none</p>", [])], lambda h: _SHOWN(X.faq_page(h)))
 golden("x10_salt_in_text", ["s"], [("It contains Paracetamol as its active", "Paracetamol"), ("none", None)], lambda s: F.nullif(F.regexp_extract(s, r"(?i)contains\s+([A-Za-z]+)", 1), F.lit("")))
 golden("x3_cascade", ["h"], [('<script type="application/ld+json">{"@type":"Product","name":"L","offers":{"price":5}}</script><title>T</title>', "L"), ('{"productName":"N"}<title>T</title>', "N"), ("<title>T</title>", "T")], lambda h: F.coalesce(X.ld_product(h)["name"], X.state_key(h, "productName"), F.nullif(F.regexp_extract(h, "<title>([^<]*)", 1), F.lit(""))))
 golden("t32_promo", ["s"], [("Good medicine for pain relief. Order now from us", "Good medicine for pain relief."), ("short", None)], lambda s: F.when((F.trim(F.regexp_replace(s, "(?i)(?:order|buy) (?:now|online).*$", "")) != s) & (F.char_length(F.trim(F.regexp_replace(s, "(?i)(?:order|buy) (?:now|online).*$", ""))) > 20), F.trim(F.regexp_replace(s, "(?i)(?:order|buy) (?:now|online).*$", ""))))

@@ -54,6 +54,36 @@ def test_calibrated_bands_decide(spark):
     assert quality.calibrated(edge_frame(spark, []), known) == quality.fitted([]) and quality.calibrated(edge_frame(spark, rows), known.limit(0)) == quality.fitted([])
 
 
+def test_bands_come_from_all_labelled_documents(spark):
+    """More good documents than a sample of 20,000 would take: the bands are those of all of them, by brute force."""
+    import zstandard
+
+    r, words, z = random.Random(33), vocabulary(n=3000), zstandard.ZstdCompressor(level=3).compress
+    texts = [" ".join(r.choices(words, k=r.randrange(55, 90))) for _ in range(21_000)]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(3, texts[3] + " more", "en", "s", 1), (None, texts[0], "en", "s", 1), (21_000, "few words", "en", "s", 1)]
+    labels = [(i, int(i % 50 > 0)) for i in range(21_001)] + [(1, 0), (2, 1), (None, 1), (50, 1), (5, None)]
+    bands = quality.calibrated(edge_frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    starts, ratios = [b[0] for b in bands], defaultdict(list)
+    for i, t in enumerate(texts):
+        n = len(t.encode())
+        if i % 50 and i != 1 and n >= starts[0] and not brute_quality(t)[5]:
+            ratios[max(s for s in starts if s <= n)].append(n / len(z(t.encode())))
+    assert sum(map(len, ratios.values())) > 20_000
+    general = {b[0]: b[1:] for b in quality.fitted([])}
+    for start, *band in bands:
+        x = np.array(ratios[start])
+        want = (max(1.0, x.mean() - 4 * x.std()), x.mean() + 4 * x.std()) if len(x) >= 30 else general[start]
+        assert band == pytest.approx(want, abs=5e-6)
+
+
+def test_bands_of_copies_keep_them(spark):
+    """All good documents of a length are the same text: the band has no width, and they stay."""
+    r = random.Random(35)
+    rows = [(i, t, "en", "s", 1) for k in range(12) for t in [" ".join(r.choices(vocabulary(), k=60 + 9 * k))] for i in range(40 * k, 40 * k + 40)]
+    bands = quality.calibrated(edge_frame(spark, rows), spark.createDataFrame([(x[0], 1) for x in rows], "doc_id long, quality int"))
+    assert bands != quality.fitted([]) and quality.kept_documents(edge_frame(spark, rows), bands).count() == len(rows)
+
+
 def test_compression_bands():
     r = random.Random(2)
     prose = " ".join(r.choice(vocabulary()) for _ in range(3000))

@@ -10,8 +10,8 @@ incompressible.  A document is rejected if its whole ratio leaves the band or if
 a quarter of its bytes leave theirs; the last chunk is judged by the band of its own length.
 
 ``calibrated`` draws the bands from documents labelled as good: the mean ratio plus and minus ``SPREAD`` standard
-deviations in each half octave of length, from about ``SAMPLE`` labelled documents at most (a share by a hash of the id; a repeated id counts once, with its shortest text).  Lengths with
-fewer than ``LEAST`` of them keep the general bands.  A document with two labels is good if both say so; null labels and ids count for nothing.
+deviations in each half octave of length, from all of them that pass the base rules (a repeated id counts once, with its shortest text).  Ratios are
+summed in whole millionths, so the bands do not depend on the order of rows.  Lengths with fewer than ``LEAST`` of them keep the general bands.  A document with two labels is good if both say so; null labels and ids count for nothing.
 
 A null text has no words.  Rows are handled one by one, so repeated rows and ids, or null ids, give
 a row each.  Whole texts are counted and compressed.  Extra columns are ignored by
@@ -23,8 +23,8 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_right
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -40,8 +40,10 @@ MIN_WORDS, LEVEL, CHUNK, BAD_SHARE = 50, 3, 4096, 0.25
 BANDS = ((256, 1.05, 3.2), (1024, 1.15, 3.6), (4096, 1.2, 4.2), (16384, 1.25, 5.0), (65536, 1.25, 6.0))
 
 
-#: Labelled documents that the bands are drawn from at most; the least in a half octave; half the width of a band in standard deviations.
-SAMPLE, LEAST, SPREAD = 20_000, 30, 4.0
+#: The least labelled documents in a half octave; half the width of a band in standard deviations; the unit that ratios are summed in.
+LEAST, SPREAD, UNIT = 30, 4.0, 10**6
+#: Bytes from which each half octave is judged.
+STARTS = sorted({math.ceil(BANDS[0][0] * 2 ** (k / 2)) for k in range(20)} | {b[0] for b in BANDS})
 Bands = tuple[tuple[int, float, float], ...]
 
 
@@ -68,46 +70,38 @@ def compressed_badly(data: bytes, bands: Bands = BANDS) -> bool:
     return sum(len(c) for c in chunks if outside(len(c), len(z(c)), bands)) > BAD_SHARE * len(data)
 
 
-def fitted(ratios: list[tuple[int, float]]) -> Bands:
-    """Bands from (bytes, ratio) of good texts, a half octave each."""
-    at = lambda k: math.ceil(BANDS[0][0] * 2 ** (k / 2))
-    starts = sorted({at(k) for k in range(20)} | {b[0] for b in BANDS})
-    seen = defaultdict(list)
-    for n, r in ratios:
-        if n >= starts[0]:
-            seen[bisect_right(starts, n) - 1].append(r)
+def fitted(sums: Iterable[tuple[int, int, int, int]]) -> Bands:
+    """Bands from (half octave, good texts, sum of their ratios, sum of the squares), ratios in whole parts of ``UNIT``."""
+    seen = {at: x for at, *x in sums}
     out = []
-    for i, start in enumerate(starts):
+    for i, start in enumerate(STARTS):
         _, low, high = BANDS[bisect_right(BANDS, start, key=lambda b: b[0]) - 1]
-        some = sorted(seen[i])
-        if len(some) >= LEAST:
-            mean = math.fsum(some) / len(some)
-            width = SPREAD * math.sqrt(math.fsum((r - mean) ** 2 for r in some) / len(some))
+        n, total, squares = seen.get(i, (0, 0, 0))
+        if n >= LEAST:
+            mean = total / (n * UNIT)
+            width = SPREAD * math.sqrt((n * squares - total * total) / (n * UNIT) ** 2) + 1 / UNIT  # as much as a ratio loses as a whole number
             low, high = max(1.0, mean - width), mean + width
         out.append((start, low, high))
     return tuple(out)
 
 
-def calibrated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Bands:
+def calibrated(docs: DataFrame, labels: DataFrame) -> Bands:
     """Bands by the labelled documents (doc_id, quality 0 or 1) that are good and pass the base rules."""
-    known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("q")).where("id is not null and q is not null")
-    good = known.groupBy("id").agg(F.min("q").alias("q")).where("q = 1").select("id")
-    # A share of them by a hash of the id, a little below what ``sample`` allows: no task gathers or sorts them.
-    share = min(1.0, 0.95 * sample / max(1, good.count()))
-    good = good.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    named = documents(docs)
-    some = named.join(F.broadcast(good), named["doc_id"] == good["id"]).select("doc_id", "text")  # about ``sample`` ids at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = _compressor().compress
         for b in batches:
             texts = [t.as_py() for t in b.column("text")]
-            rows = [(i.as_py(), len(x), len(x) / len(z(x))) for i, x in zip(b.column("doc_id"), (t.encode() if not counts(t)[5] else b"" for t in texts), strict=True) if x]
-            cols = list(zip(*rows, strict=True)) or [[]] * 3
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["id", "n", "r"])
+            rows = [(i.as_py(), len(x), UNIT * len(x) // len(z(x)), bisect_right(STARTS, len(x)) - 1) for i, x in zip(b.column("doc_id"), (t.encode() if not counts(t)[5] else b"" for t in texts), strict=True) if x]
+            cols = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["id", "n", "r", "at"])
 
-    found = some.mapInArrow(run, "id long, n long, r double").groupBy("id").agg(F.min(F.struct("n", "r")).alias("x")).collect()  # at most about ``sample`` rows
-    return fitted(sorted((x["x"]["n"], x["x"]["r"]) for x in found))
+    # All documents are measured where they lie and meet their labels as a few numbers each: no text is shuffled, nothing is broadcast.
+    known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("q")).where("id is not null and q is not null")
+    sizes = documents(docs).where("doc_id is not null").mapInArrow(run, "id long, n long, r long, at long").select("id", F.struct("n", "r", "at").alias("x"))
+    each = sizes.unionByName(known, allowMissingColumns=True).groupBy("id").agg(F.min("x").alias("x"), F.min("q").alias("q")).where("q = 1 and x.at >= 0").select("x.*")
+    r = F.col("r").cast("decimal(19,0)")
+    return fitted((x["at"], x["n"], int(x["s"]), int(x["ss"])) for x in each.groupBy("at").agg(F.count("*").alias("n"), F.sum(r).alias("s"), F.sum(r * r).alias("ss")).collect())  # a row a half octave
 
 
 #: str.split() also cuts at other white space; these stand in for what is not to be cut at.

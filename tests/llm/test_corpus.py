@@ -201,6 +201,26 @@ def test_ids_are_those_of_the_library(name):
     assert [t for t in texts if array("I", [*lib.encode(t, add_special_tokens=False).ids, 1]).tobytes() != enc.encode(t)] == []
 
 
+def test_tables_of_a_worker_stay_small():
+    """A million chunks, none twice: what the tables of a worker take, in a process of its own."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys
+from tidemark.llm import packing
+enc = packing.encoder(sys.argv[1], 1, packing.unmade_tokens(sys.argv[1]))
+enc.encode("some text")
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+before = peak()
+for i in range(0, 1_000_000, 100):
+    enc.encode(" ".join("w" + f"{k:06d}".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(i, i + 100)))
+print((peak() - before) / 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code, P.path("word_bpe_49k.json")], capture_output=True, text=True, check=True, timeout=300)
+    assert float(out.stdout) < 100
+
+
 def test_simhash_components(spark):
     r, rows = random.Random(4), edge_rows()
     words = vocabulary()

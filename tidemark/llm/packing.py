@@ -39,8 +39,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents
 
 OPEN, GROUP, SLACK = 64, 8, 16
-#: Chunks and pre-tokens that a worker keeps; the most characters of a chunk that is kept.
-KEPT, PRE_KEPT, LONGEST = 900_000, 200_000, 48
+#: Chunks and pre-tokens that a worker keeps; the most characters of a chunk that is kept.  An executor can have more workers than cores for a while,
+#: each with tables of its own, so they are to stay within 100 MB; a pre-token that its chunk's entry does not save is rarely met again.
+KEPT, PRE_KEPT, LONGEST = 450_000, 20_000, 48
 #: What the chunks' own way through the model relies on; other models are left to the library.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 PRE_TOKENIZER = {

@@ -10,29 +10,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 CHANGE = "medicine_id long, platform string, scraped_at timestamp, sale double, old_sale double, seq long"
+KEY, NEWEST = ["medicine_id", "platform"], ["at", "seq", "sale"]
+STATE = "medicine_id array<long>, platform array<string>, at array<long>, seq array<long>, sale array<double>"
+#: Medicines of neighbouring ids whose states lie together, so that a group costs one call for all of them.
+NEIGHBOURS = 64
 
 
 def monotone(stream: DataFrame) -> DataFrame:
     """Observations (medicine_id, platform, scraped_at, seq, sale) that are strictly newer than all before of their key and change the price.
 
-    State is one row per medicine and platform: the newest (scraped_at, seq) and its price.
+    State is one row per ``NEIGHBOURS`` medicines: for each of their platforms the newest (scraped_at, seq) and its price.
     """
 
     def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        at, seq, sale = state.get if state.exists else (None, None, None)
-        out = []
-        frame = pd.concat(list(rows)).sort_values(["scraped_at", "seq"])
-        for r in frame.itertuples():
-            stamp = int(pd.Timestamp(r.scraped_at).value // 1000)
-            if at is not None and (stamp, int(r.seq)) <= (at, seq):
-                continue
-            if sale is None or r.sale != sale:
-                out.append((key[0], key[1], r.scraped_at, r.sale, sale, r.seq))
-            at, seq, sale = stamp, int(r.seq), float(r.sale)
-        state.update((at, seq, sale))
-        yield pd.DataFrame(out, columns=["medicine_id", "platform", "scraped_at", "sale", "old_sale", "seq"]).astype({"medicine_id": "int64", "sale": "float64", "old_sale": "float64", "seq": "int64"})
-
-    return stream.groupBy("medicine_id", "platform").applyInPandasWithState(step, CHANGE, "at long, seq long, sale double", "append", GroupStateTimeout.NoTimeout)
+        frame = pd.concat(list(rows), ignore_index=True)
+        frame["at"] = frame["scraped_at"].astype("datetime64[us]").astype("int64")
+        frame["fresh"] = 1
+        if state.exists:
+            known = pd.DataFrame(dict(zip(KEY + NEWEST, state.get, strict=True))).astype({"sale": "float64"})
+            frame = pd.concat([known.assign(fresh=0), frame], ignore_index=True)
+        # The known row stands before a new one of its stamp, and what sorts before it comes too late.
+        frame = frame.sort_values([*KEY, "at", "seq", "fresh"], kind="stable", ignore_index=True)
+        by = frame.groupby(KEY, sort=False, dropna=False)
+        frame = frame[(by["fresh"].cummin() == 0) | (by["fresh"].transform("min") == 1)]
+        frame = frame.drop_duplicates([*KEY, "at", "seq"], ignore_index=True)
+        frame["old_sale"] = frame.groupby(KEY, sort=False, dropna=False)["sale"].shift()
+        last = frame.drop_duplicates(KEY, keep="last")
+        state.update(tuple(last[c].astype(object).where(last[c].notna(), None).tolist() for c in KEY + NEWEST))
+        changed = frame["old_sale"].isna() | (frame["sale"].notna() & (frame["sale"] != frame["old_sale"]))
+        yield frame.loc[(frame["fresh"] == 1) & changed, [*KEY, "scraped_at", "sale", "old_sale", "seq"]].astype({"medicine_id": "int64", "seq": "int64"})
+
+    return stream.withColumn("near", F.expr(f"medicine_id div {NEIGHBOURS}")).groupBy("near").applyInPandasWithState(step, CHANGE, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def daily_demand(stream: DataFrame, late: str = "1 day") -> DataFrame:

@@ -54,9 +54,10 @@ def w1(spark, d):
     """Queries by name and dose against all listings of their second word, scored by relevance."""
     m = V.med(spark, d)
     q = m.groupBy("name").agg(F.min("size").alias("qs"), F.first("salt_key").alias("salt_key")).select("salt_key", F.concat("name", F.lit(" "), F.col("qs").cast("string"), F.lit("mg")).alias("query"))
-    # Titles are few beside listings, so each is scored once for a query.
-    scored = m.select("medicine_id", "title", "salt_key").join(q, "salt_key").select("query", "medicine_id", I.relevance(F.col("query"), F.col("title")).alias("score"))
-    c = V.price(spark, d).select("medicine_id", "platform").join(scored, "medicine_id").withColumn("ord", F.col("medicine_id"))
+    # Scores are of titles, so each title is scored once for a query, and of its listings on a platform the first stands for all.
+    scored = m.select("title", "salt_key").distinct().join(q, "salt_key").select("title", "salt_key", "query", I.relevance(F.col("query"), F.col("title")).alias("score"))
+    first = V.price(spark, d).select("medicine_id", "platform").join(m.select("medicine_id", "title", "salt_key"), "medicine_id").groupBy("title", "salt_key", "platform").agg(F.min("medicine_id").alias("medicine_id"))
+    c = first.join(scored, ["title", "salt_key"]).withColumn("ord", F.col("medicine_id"))
     return R.best_listing(c).select("query", "platform", "medicine_id", "match_percentage")
 
 

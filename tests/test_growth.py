@@ -14,6 +14,7 @@ import tidemark.plans.pipelines  # noqa: F401
 import tidemark.plans.records  # noqa: F401
 import tidemark.plans.relational  # noqa: F401
 import tidemark.plans.resolution  # noqa: F401
+from tidemark.operators import heal
 from tidemark.registry import ORACLES, QUERIES
 from tidemark.streaming import prices
 
@@ -64,6 +65,20 @@ def test_joins_stay_small(spark, crowd, name, most):
     assert same(spark, name, crowd)
 
 
+def test_names_are_parsed_once(spark, crowd):
+    rows = spark.createDataFrame([(1, "Dolo 650", "")], "id long, name string, salt string")
+    for df in (
+        heal.heal_report(rows, "name", "salt"),
+    ):
+        assert "regexp" not in before_shuffles(df)
+
+
+def test_a_composition_is_read_once_per_verdict(spark):
+    plan = spark.range(1).select(heal.S.heal(F.col("id").cast("string"), F.col("id").cast("string"))["verdict"])._jdf.queryExecution().optimizedPlan().toString()
+    one = spark.range(1).select(heal.S.molecule(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") <= 2 * one.count("regexp_extract")
+
+
 def test_states_of_a_stream_lie_together(spark, tmp_path):
     """Three rounds of files with late rows, equal stamps and missing prices against a walk in Python; few rows of state."""
     rng, known, want = random.Random(7), {}, []

@@ -26,6 +26,11 @@ def cents(c: Column) -> Column:
     return rounded(c, 2)
 
 
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is made once per row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def hours_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / 3.6e9
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import salts as S
+from tidemark.functions.common import let
 
 _FORMS = {
     "capsule": "cap caps capsule capsules", "cream": "cream", "drops": "drop drops", "gel": "gel", "inhaler": "inhaler", "injection": "ampoule ampule inj injection vial", "lotion": "lotion",
@@ -32,11 +33,6 @@ PACK = "|".join(
 )
 
 
-def _let(value: Column, use) -> Column:
-    """``use`` of a value that is made once per row."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _dose(num: Column, unit: Column) -> Column:
     n = F.when(num.contains("."), F.regexp_replace(F.regexp_replace(num, "0+$", ""), r"\.$", "")).otherwise(num)
     u = F.when(unit == "gm", "g").when(unit == "lakh", "lac").when(unit == "unit", "units").otherwise(unit)
@@ -58,15 +54,15 @@ def identity(name: Column, salt: Column) -> Column:
         phrase = F.try_element_at(ranked, F.lit(1))["p"]
         form = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in FORMS for x in kv]), phrase), F.lit(""))
         left = F.when(phrase.isNull(), t).otherwise(F.regexp_replace(t, F.concat(F.lit(r"\b"), phrase, F.lit(r"\b")), F.lit(" ")))
-        return _let(F.struct(left.alias("t"), form.alias("form")), made)
+        return let(F.struct(left.alias("t"), form.alias("form")), made)
 
     def made(x: Column) -> Column:
         doses = F.zip_with(F.regexp_extract_all(x["t"], F.lit(DOSE), F.lit(1)), F.regexp_extract_all(x["t"], F.lit(DOSE), F.lit(2)), _dose)
         tokens = F.filter(F.split(F.regexp_replace(x["t"], DOSE, " "), "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(NOISE) & ~w.rlike("^[0-9]+$"))
-        brand = _let(tokens, lambda ts: F.array_join(F.filter(ts, lambda w, i: ~((w == "n") & (i < F.size(ts) - 1))), " "))
+        brand = let(tokens, lambda ts: F.array_join(F.filter(ts, lambda w, i: ~((w == "n") & (i < F.size(ts) - 1))), " "))
         return F.struct(brand.alias("brand"), doses.alias("strength"), x["form"].alias("form"), S.salt_key(salt).alias("salt_key"))
 
-    return _let(text, rest)
+    return let(text, rest)
 
 
 def strength_nums(ident: Column) -> Column:

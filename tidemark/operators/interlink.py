@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dosage as D
 from tidemark.functions import salts as S
+from tidemark.operators.copies import once
 
 _MAKERS = sorted(
     "abbott alkem amp aurobindo bayer biocon boehringer cadila cipla co corp corporation davaindia genericart glenmark gmbh gsk healthcare heteo inc india ingelheim intas limited llc ltd lupin mankind micro novartis pfizer pharm pharma pharmaceuticals private pvt reddy reddys sanofi serum stayhappi sun torrent wockhardt zydus".split()
@@ -28,15 +29,22 @@ def matching_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.trim(n), r"[\s\-,.|:;+*]+$", ""))
 
 
-def alike_groups(rows: DataFrame, one_dose: bool = False, least: float = 0.6) -> DataFrame:
+def alike_groups(rows: DataFrame, one_dose: bool = False, least: float = 0.6, several: str | None = None) -> DataFrame:
     """(key, n): groups of several rows (key, name, dose) whose names are alike, pair by pair of distinct names.
 
-    Groups are keys of one product, so their distinct names are few; copies of a name are counted, not paired.
+    ``rows`` may be counted already, in a column ``n``. With ``several``, groups have more than one value of that column.
+    Groups are keys of one product, so their distinct names are few; copies of a name are counted, not paired, and
+    names of groups that are out by their counts or doses are not paired either.
     """
-    groups = rows.groupBy("key").agg(F.count("*").alias("n"), F.countDistinct("dose").alias("doses")).where("n > 1")
+    total = F.sum("n") if "n" in rows.columns else F.count("*")
+    differ = several or "dose"
+    groups = rows.groupBy("key").agg(total.alias("n"), F.min("dose").alias("lo"), F.max("dose").alias("hi"), F.min(differ).alias("first"), F.max(differ).alias("last")).where("n > 1")
     if one_dose:
-        groups = groups.where("doses = 1")
-    names = rows.select("key", "name").distinct()
+        groups = groups.where("lo = hi")
+    if several:
+        groups = groups.where("first < last")
+    groups = groups.select("key", "n")
+    names = rows.select("key", "name").distinct().join(groups.select("key"), "key")
     a, b = names.alias("a"), names.alias("b")
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.name") < F.col("b.name"))).groupBy(F.col("a.key").alias("key")).agg(F.min(S.word_jaccard(F.col("a.name"), F.col("b.name"))).alias("least"))
     return groups.join(pairs, "key", "left").where(F.coalesce("least", F.lit(1.0)) >= least).select("key", "n")
@@ -55,10 +63,9 @@ def fuzzy_key_groups(rows: DataFrame, least: float = 0.6) -> DataFrame:
 
     ``rows`` have name, normalized_name, dosage and canonical_key; those without core or dose take no part.
     """
-    keyed = rows.select(_core().alias("core"), _dose().alias("dose"), matching_name(F.col("name")).alias("name"), F.nullif("canonical_key", F.lit("")).alias("canonical"))
+    keyed = once(rows, ["name", "normalized_name", "dosage", "canonical_key"], F.count("*").alias("n")).select(_core().alias("core"), _dose().alias("dose"), matching_name(F.col("name")).alias("name"), F.nullif("canonical_key", F.lit("")).alias("canonical"), "n")
     keyed = keyed.where("core <> '' AND dose IS NOT NULL").withColumn("key", F.concat_ws("|", "core", "dose"))
-    several = keyed.groupBy("key").agg(F.countDistinct("canonical").alias("keys")).where("keys > 1")
-    return alike_groups(keyed, one_dose=True, least=least).join(several, "key", "left_semi")
+    return alike_groups(keyed, one_dose=True, least=least, several="canonical")
 
 
 def integer_dose_groups(rows: DataFrame, least: float = 0.6) -> DataFrame:
@@ -67,10 +74,9 @@ def integer_dose_groups(rows: DataFrame, least: float = 0.6) -> DataFrame:
     ``rows`` have name, normalized_name, dosage and salt; those without core or whole part take no part.
     """
     salt = F.coalesce(F.nullif(F.regexp_replace(F.lower("salt"), "[^a-z0-9]", ""), F.lit("")), F.lit("NOSALT"))
-    keyed = rows.select(_core().alias("core"), _dose().alias("dose"), matching_name(F.col("name")).alias("name"), salt.alias("salt")).withColumn("ints", D.dose_integers(F.col("dose")))
+    keyed = once(rows, ["name", "normalized_name", "dosage", "salt"], F.count("*").alias("n")).select(_core().alias("core"), _dose().alias("dose"), matching_name(F.col("name")).alias("name"), salt.alias("salt"), "n").withColumn("ints", D.dose_integers(F.col("dose")))
     keyed = keyed.where("core <> '' AND ints IS NOT NULL").withColumn("key", F.concat_ws("|", "core", "ints", "salt"))
-    several = keyed.groupBy("key").agg(F.countDistinct("dose").alias("doses")).where("doses > 1")
-    return alike_groups(keyed, least=least).join(several, "key", "left_semi")
+    return alike_groups(keyed, least=least, several="dose")
 
 
 _OVERLAP_PARTS = "tablet tablets tab tabs capsule capsules cap caps strip strips pack bottle syrup suspension injection drop drops ointment cream gel spray sachet box of new".split()

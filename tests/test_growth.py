@@ -14,7 +14,7 @@ import tidemark.plans.pipelines  # noqa: F401
 import tidemark.plans.records  # noqa: F401
 import tidemark.plans.relational  # noqa: F401
 import tidemark.plans.resolution  # noqa: F401
-from tidemark.operators import heal, interlink
+from tidemark.operators import heal, identity, interlink
 from tidemark.registry import ORACLES, QUERIES
 from tidemark.streaming import prices
 
@@ -59,7 +59,7 @@ def same(spark, name, data):
     return got == want
 
 
-@pytest.mark.parametrize(("name", "most"), [("j10_signature_lookup", 1200), ("j4_alternatives", 6 * 600), ("w1_best_listing", 3600), ("e12_interlink_same_key", 100), ("e13_interlink_fuzzy_key", 100)])
+@pytest.mark.parametrize(("name", "most"), [("j10_signature_lookup", 1200), ("j4_alternatives", 6 * 600), ("w1_best_listing", 3600), ("e11_clusters", 1200), ("e12_interlink_same_key", 100), ("e13_interlink_fuzzy_key", 100)])
 def test_joins_stay_small(spark, crowd, name, most):
     assert most_joined(QUERIES[name](spark, crowd)) <= most
     assert same(spark, name, crowd)
@@ -68,7 +68,7 @@ def test_joins_stay_small(spark, crowd, name, most):
 def test_names_are_parsed_once(spark, crowd):
     rows = spark.createDataFrame([(1, "Dolo 650", "")], "id long, name string, salt string")
     for df in (
-        heal.heal_report(rows, "name", "salt"),
+        identity.guarded_clusters(rows), identity.duplicate_pairs(rows), heal.heal_report(rows, "name", "salt"),
         interlink.fuzzy_key_groups(rows.selectExpr("name", "name AS normalized_name", "name AS dosage", "name AS canonical_key")), interlink.integer_dose_groups(rows.selectExpr("name", "name AS normalized_name", "name AS dosage", "salt")),
     ):
         assert "regexp" not in before_shuffles(df)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import salts as S
 from tidemark.functions.common import let
+from tidemark.operators.copies import once
 
 _FORMS = {
     "capsule": "cap caps capsule capsules", "cream": "cream", "drops": "drop drops", "gel": "gel", "inhaler": "inhaler", "injection": "ampoule ampule inj injection vial", "lotion": "lotion",
@@ -154,8 +155,14 @@ def relevance(query: Column, name: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(F.size(brand) == 0, 0.0).otherwise(first + others) + dose + off))
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows`` with "" for a missing name or salt, which have the same identity."""
+    return rows.select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("name", "salt")])
+
+
 def _identities(rows: DataFrame) -> DataFrame:
-    return rows.select("id", identity(F.col("name"), F.col("salt")).alias("x"))
+    """(name, salt, id, x): each distinct name and salt, parsed once, under its smallest id."""
+    return once(_named(rows), ["name", "salt"], F.min("id").alias("id")).withColumn("x", identity(F.col("name"), F.col("salt")))
 
 
 def duplicate_pairs(rows: DataFrame) -> DataFrame:
@@ -200,6 +207,7 @@ def guarded_clusters(rows: DataFrame) -> DataFrame:
         return pd.DataFrame([(i, find(i)) for i in sorted(parent)], columns=["rep", "cluster"])
 
     of = pairs.groupBy("p", "s").applyInPandas(join, "rep long, cluster long")
-    members = _identities(rows)
-    reps = members.groupBy("x").agg(F.min("id").alias("rep"))
-    return members.join(reps, "x").join(of, "rep", "left").select("id", F.coalesce("cluster", "rep").alias("cluster"))
+    names = _identities(rows)
+    reps = names.groupBy("x").agg(F.min("id").alias("rep"))
+    clusters = names.join(reps, "x").join(of, "rep", "left").select("name", "salt", F.coalesce("cluster", "rep").alias("cluster"))
+    return _named(rows).join(clusters, ["name", "salt"]).select("id", "cluster")
